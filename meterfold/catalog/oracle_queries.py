@@ -69,6 +69,19 @@ def _thousandths(c: str) -> str:
     return f"CAST(floor({c} * 1000 + 0.5) AS BIGINT) AS {c}"
 
 
+_FLOWS = """SELECT e.device_type, e.device_id, r.key_id, date_trunc('hour', r.ts) AS stat_time, avg(r.value_c) AS dbl_stats
+    FROM readings r JOIN eligible e USING (entity_id)
+    JOIN key_config k ON k.device_type = e.device_type AND k.rate_key_id = r.key_id
+    WHERE e.device_type <> 'E' GROUP BY ALL"""
+
+
+def _measured(bucket: str, code: int) -> str:
+    return f"""SELECT d.device_type, d.device_id, CAST(r.key_id AS BIGINT) AS key_id, {bucket} AS stat_time,
+        avg(r.value_c) AS dbl_stats, CAST(min(r.value_c) AS DOUBLE) AS dbl_min, CAST(max(r.value_c) AS DOUBLE) AS dbl_max,
+        CAST({code} AS BIGINT) AS stat_type
+        FROM readings r JOIN device d USING (entity_id) GROUP BY ALL"""
+
+
 _RANGE = "ts >= TIMESTAMP '2024-01-05 06:30:00'"
 
 ORACLES: dict[str, str] = {
@@ -358,4 +371,23 @@ ORACLES: dict[str, str] = {
     "h5_drop_column": sql(
         "SELECT * EXCLUDE (entity_id) REPLACE (CAST(key_id AS BIGINT) AS key_id) FROM daily"
     ),
+    "i3_rewind": sql(
+        """SELECT l.device_id, l.device_type, CAST(142 AS BIGINT) AS key_id,
+        least(l.day + INTERVAL '57' SECOND, r.late) AS latest_stat_time,
+        epoch_us(least(l.day + INTERVAL '57' SECOND, r.late)) // 1000 AS latest_epoch
+        FROM latest_day l LEFT JOIN (SELECT d.device_id, min(x.ts) AS late FROM readings x JOIN device d USING (entity_id)
+            WHERE x.key_id = 596 GROUP BY ALL) r USING (device_id)"""
+    ),
+    "a10_write_stat": sql(
+        f"""SELECT device_type, device_id, CAST(key_id AS BIGINT) AS key_id, stat_time, dbl_stats,
+        CAST(NULL AS DOUBLE) AS dbl_min, CAST(NULL AS DOUBLE) AS dbl_max, CAST(2 AS BIGINT) AS stat_type
+        FROM ({_FLOWS}) f"""
+    ),
+    "g7_run_metrics": sql(
+        f"""SELECT count(*) AS rows, min(stat_time) AS first_stat_time, max(stat_time) AS last_stat_time
+        FROM ({_FLOWS}) f"""
+    ),
+    "i1_stream_hour": sql(_measured("date_trunc('hour', r.ts)", 2)),
+    "i1_stream_production_day": sql(_measured("CAST(date_trunc('day', r.ts - INTERVAL '8' HOUR) AS TIMESTAMP)", 3)),
+    "i2_stream_delta": _steps("readings"),
 }

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterfold.catalog.views import EXCLUDED, SERIES, Views, cents
+from meterfold.catalog.views import EXCLUDED, SERIES, Views
 from meterfold.functions import period, timebucket
 from meterfold.operators import carbon, consumption, incremental, quality, statistics, tariff
-from meterfold.operators.series import Series
+from meterfold.session import fresh_path
 from meterfold.sources import telemetry
+from meterfold.sources.store import StatStore
+from meterfold.streaming.bucket_stats import stream_bucket_stats, upsert_stream
+from meterfold.streaming.delta import DeltaStream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -614,3 +617,87 @@ def h4_truth(v: Views) -> DataFrame:
 def h5_drop_column(v: Views) -> DataFrame:
     kept = quality.drop_column(v.daily, "entity_id")
     return longs(kept.select(*sorted(kept.columns)), "key_id")
+
+
+@query
+def i3_rewind(v: Views) -> DataFrame:
+    """Purchases count as late readings of the electricity counter."""
+    late = v.readings.filter(F.col("key_id") == 596).join(
+        v.device.select("device_id", "entity_id", "device_type"), "entity_id"
+    )
+    marks = incremental.rewind_watermark(
+        v.latest(142).withColumn("latest_epoch", F.lit(0)), late.withColumn("key_id", F.lit(142))
+    )
+    return longs(marks, "key_id")
+
+
+# A10, G7, I: sinks and streams
+
+
+def _stored_hours(v: Views, store: StatStore) -> DataFrame:
+    return longs(
+        store.read("hourly").select(*statistics.FACT_KEY, "dbl_stats", "dbl_min", "dbl_max", "stat_type"),
+        "device_id",
+        "key_id",
+        "stat_type",
+    )
+
+
+@query
+def a10_write_stat(v: Views) -> DataFrame:
+    """Hourly flow rates stored twice: the second run overwrites the first one's averages."""
+    store = StatStore(v.spark, fresh_path(v.spark, "stats"))
+    facts = statistics.hour_rate_other(v.readings, _others(v), v.key_config, None, SERIES)
+    store.upsert("hourly", facts.withColumn("dbl_stats", F.lit(0.0)), ["dbl_stats"])
+    store.upsert("hourly", facts, ["dbl_stats"])
+    return _stored_hours(v, store)
+
+
+@query
+def g7_run_metrics(v: Views) -> DataFrame:
+    """What a run reports about the rows it wrote."""
+    store = StatStore(v.spark, fresh_path(v.spark, "stats"))
+    facts = statistics.hour_rate_other(v.readings, _others(v), v.key_config, None, SERIES)
+    _, metrics = store.upsert("hourly", facts, ["dbl_stats"])
+    return v.spark.range(1).select(
+        F.lit(metrics["rows"]).cast("bigint").alias("rows"),
+        timebucket.timestamp_literal(metrics["first_stat_time"]).alias("first_stat_time"),
+        timebucket.timestamp_literal(metrics["last_stat_time"]).alias("last_stat_time"),
+    )
+
+
+def _event_stream(v: Views) -> Views:
+    """The same views over the events as a file stream."""
+    streamed = Views(v.spark, v.sf_dir)
+    schema = v.table("events").schema
+    events = v.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(v.sf_dir)
+    streamed.table = lambda name: events if name == "events" else v.table(name)
+    return streamed
+
+
+@query
+def i1_stream_hour(v: Views) -> DataFrame:
+    return _streamed(v, "hour", "hourly")
+
+
+@query
+def i1_stream_production_day(v: Views) -> DataFrame:
+    return _streamed(v, "day", "daily")
+
+
+def _streamed(v: Views, grain: str, table: str) -> DataFrame:
+    store = StatStore(v.spark, fresh_path(v.spark, "stats"))
+    stats = stream_bucket_stats(_event_stream(v).readings, grain, SERIES, delay="40 days")
+    upsert_stream(
+        stats, v.device, store, table, grain, fresh_path(v.spark, "stream-checkpoint")
+    ).awaitTermination()
+    columns = [*statistics.FACT_KEY, "dbl_stats", "dbl_min", "dbl_max", "stat_type"]
+    return longs(store.read(table).select(*columns), "device_id", "key_id", "stat_type")
+
+
+@query
+def i2_stream_delta(v: Views) -> DataFrame:
+    readings = _event_stream(v).readings
+    stream = DeltaStream(fresh_path(v.spark, "deltas"), readings.schema, SERIES)
+    stream.start(readings, fresh_path(v.spark, "stream-checkpoint")).awaitTermination()
+    return stream.deltas(v.spark).select("event_id", "entity_id", "key_id", "ts", "delta")

@@ -79,7 +79,16 @@ class Views:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _rows(self, rows: list[tuple], schema: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema)
+        """An inline table, whose exact size the optimizer knows."""
+
+        def literal(x) -> str:
+            return "NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x)
+
+        inline = ", ".join("(" + ", ".join(literal(x) for x in row) + ")" for row in rows)
+        columns = [c.strip().split(" ") for c in schema.split(",")]
+        typed = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in columns)
+        names = ", ".join(name for name, _ in columns)
+        return self.spark.sql(f"SELECT {typed} FROM VALUES {inline} AS t({names})")
 
     @cached_property
     def device(self) -> DataFrame:

@@ -212,7 +212,8 @@ def fleet_consumption(
     The watermark is applied to buckets and not to readings. A start is always a bucket's
     first instant, so both keep the same rows, and buckets are far fewer than readings.
     """
-    counters = F.broadcast(key_config.select(F.col("accumulation_key_id").alias("key_id")).distinct())
+    # both hints: one row per utility type
+    counters = F.broadcast(key_config.select(F.col("accumulation_key_id").alias("key_id")))
     consumed = bucket_consumption_min(readings.join(counters, "key_id", "left_semi"), grain, s, day_start=day_start)
     roles = F.broadcast(key_config.select("device_type", "accumulation_key_id", "consumption_key_id"))
     wanted = devices.join(roles, "device_type").select(

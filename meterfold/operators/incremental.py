@@ -135,3 +135,18 @@ def run_metrics(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
         ),
         observation,
     )
+
+
+def rewind_watermark(latest: DataFrame, late: DataFrame) -> DataFrame:
+    """Watermarks set back to the oldest late reading, so that the next run redoes its bucket.
+
+    ``late`` holds ``device_id, device_type, key_id, ts``.
+    """
+    oldest = late.groupBy(*SERIES_KEY).agg(F.min("ts").alias("_late"))
+    moved = F.least("latest_stat_time", "_late")
+    return (
+        latest.join(oldest, SERIES_KEY, "left")
+        .withColumn("latest_stat_time", moved)
+        .withColumn("latest_epoch", ts_to_epoch_ms(F.col("latest_stat_time")))
+        .drop("_late")
+    )

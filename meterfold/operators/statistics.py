@@ -146,7 +146,8 @@ def hour_other(
 
 def _consumption_facts(facts: DataFrame, devices: DataFrame, key_config: DataFrame) -> DataFrame:
     """Facts of the devices' own consumption keys."""
-    roles = F.broadcast(key_config.select("device_type", F.col("consumption_key_id").alias("key_id")).distinct())
+    # one row per utility type
+    roles = F.broadcast(key_config.select("device_type", F.col("consumption_key_id").alias("key_id")))
     own = devices.select("device_id", "device_type").join(roles, "device_type").select("device_id", "key_id")
     return facts.join(own, ["device_id", "key_id"], "left_semi")
 
@@ -174,9 +175,10 @@ def day_rate_other(
 
 
 def _average_rate(readings, devices, key_config, latest, grain, s) -> DataFrame:
+    # one row per utility type
     roles = F.broadcast(key_config.select("device_type", F.col("rate_key_id").alias("key_id")))
     averages = (
-        readings.join(roles.select("key_id").distinct(), "key_id", "left_semi")
+        readings.join(roles.select("key_id"), "key_id", "left_semi")
         .groupBy(*s.keys, calendar_bucket(F.col(s.ts), grain).alias("stat_time"))
         .agg(F.coalesce(F.avg(s.value), F.lit(0)).alias("dbl_stats"))
     )
@@ -244,7 +246,7 @@ def day_rate(
     those are is known per device, and devices are joined to day rows rather than to
     readings; so each day row carries both variants until the join decides.
     """
-    # the key lists are bounded by the key dictionary's fixed names
+    # bounded by the list of names
     named = key_dictionary.filter(F.col("key").isin(*names)).select("key_id")
     mapping = F.broadcast(
         avg_key_config.join(named, F.col("rate_key_id") == F.col("key_id"))

@@ -27,16 +27,24 @@ ROLES = {"accumulation": "accumulation_key_id", "rate": "rate_key_id"}
 
 
 def telemetry_values(
-    ts_kv: DataFrame, start: datetime | None = None, end: datetime | None = None
+    ts_kv: DataFrame,
+    start: datetime | None = None,
+    end: datetime | None = None,
+    date_column: str | None = None,
 ) -> DataFrame:
     """Stored telemetry as readings ``entity_id, key_id, ts_ms, ts, value``.
 
-    The bounds are compared with the stored epoch column, so they reach the file scan.
+    The bounds are compared with the stored epoch column, so they reach the file scan; with
+    ``date_column``, the date the files are partitioned by, they prune whole folders.
     """
     if start is not None:
         ts_kv = ts_kv.filter(F.col("ts") >= epoch_ms(start))
+        if date_column:
+            ts_kv = ts_kv.filter(F.col(date_column) >= F.lit(start.date()))
     if end is not None:
         ts_kv = ts_kv.filter(F.col("ts") < epoch_ms(end))
+        if date_column:
+            ts_kv = ts_kv.filter(F.col(date_column) <= F.lit(end.date()))
     return ts_kv.select(
         "entity_id",
         F.col("key").alias("key_id"),
@@ -103,7 +111,8 @@ def map_measure_keys(df: DataFrame, avg_key_config: DataFrame) -> DataFrame:
 
 def filter_named_keys(df: DataFrame, key_dictionary: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """Rows whose key has one of the names in the dictionary."""
-    wanted = key_dictionary.filter(F.col("key").isin(*names)).select("key_id")
+    # bounded by the list of names
+    wanted = F.broadcast(key_dictionary.filter(F.col("key").isin(*names)).select("key_id"))
     return df.join(wanted, "key_id", "left_semi")
 
 
