@@ -1,5 +1,6 @@
 """The jobs end to end: one full run, the same in two halves, and a run repeated."""
 
+import os
 import random
 import tempfile
 from datetime import datetime, timedelta
@@ -60,8 +61,13 @@ def telemetry():
 
 @pytest.fixture(scope="module")
 def estate(spark):
+    root = tempfile.mkdtemp(prefix="meterfold-estate-")
+
     def table(rows, schema):
-        return spark.createDataFrame(rows, schema)
+        """The rows as a Parquet table, as a cluster would have them."""
+        path = f"{root}/{len(os.listdir(root))}"
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
+        return spark.read.schema(schema).parquet(path)
 
     prices = [
         (1, d, s, p, 2.0 + i, 1.0 + i)
