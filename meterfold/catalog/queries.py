@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterfold.catalog.views import EXCLUDED, SERIES, Views
+from meterfold.catalog.views import EXCLUDED, SERIES, TABLES, Views
 from meterfold.functions import period, timebucket
 from meterfold.operators import carbon, consumption, incremental, quality, statistics, tariff
 from meterfold.session import fresh_path
@@ -669,8 +669,7 @@ def g7_run_metrics(v: Views) -> DataFrame:
 def _event_stream(v: Views) -> Views:
     """The same views over the events as a file stream."""
     streamed = Views(v.spark, v.sf_dir)
-    schema = v.table("events").schema
-    events = v.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(v.sf_dir)
+    events = v.spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(v.sf_dir)
     streamed.table = lambda name: events if name == "events" else v.table(name)
     return streamed
 

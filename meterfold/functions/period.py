@@ -11,22 +11,29 @@ PEAK, HALF_PEAK, SATURDAY_HALF_PEAK, OFF_PEAK = "PE", "PP", "SPP", "OP"
 SUMMER = (516, 1015)
 
 
-def _hours(n: int) -> int:
-    return n * 3600
+# Hour spans of each kind of day, half-open; all other hours are off-peak.
+SUMMER_WORKDAY = {(9, 16): HALF_PEAK, (16, 22): PEAK, (22, 24): HALF_PEAK}
+OTHER_WORKDAY = {(6, 11): HALF_PEAK, (14, 24): HALF_PEAK}
+SUMMER_SATURDAY = {(9, 24): SATURDAY_HALF_PEAK}
+OTHER_SATURDAY = {(6, 11): SATURDAY_HALF_PEAK, (14, 24): SATURDAY_HALF_PEAK}
 
+_DEARER_FIRST = (PEAK, HALF_PEAK, SATURDAY_HALF_PEAK, OFF_PEAK)
 
-def _second_of_day(ts: Column) -> Column:
-    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
+def _by_hour(spans: dict[tuple[int, int], str]) -> list[str]:
+    labels = [OFF_PEAK] * 24
+    for (first, last), label in spans.items():
+        labels[first:last] = [label] * (last - first)
+    return labels
 
-def _within(ts: Column, first_hour: int, last_hour: int, closed: bool) -> Column:
-    """Hour span of the day, half-open, or with its last instant included."""
-    sod = _second_of_day(ts)
-    span = (sod >= _hours(first_hour)) & (sod < _hours(last_hour))
-    if closed and last_hour < 24:
-        whole_second = F.extract(F.lit("SECOND"), ts) == F.second(ts)
-        span = span | ((sod == _hours(last_hour)) & whole_second)
-    return span
+
+def _with_last_instant(labels: list[str]) -> list[str]:
+    """Labels on the hour, where the span that ends there may still hold."""
+    return labels[:1] + [min(pair, key=_DEARER_FIRST.index) for pair in zip(labels, labels[1:])]
+
+
+def _table(labels: list[str]) -> Column:
+    return F.expr("array(" + ", ".join(f"'{label}'" for label in labels) + ")")
 
 
 def is_summer(ts: Column) -> Column:
@@ -45,28 +52,25 @@ def season_type(ts: Column) -> Column:
 
 
 def period_type(ts: Column, closed: bool = False) -> Column:
-    """Peak, half-peak, Saturday half-peak or off-peak.
+    """Peak, half-peak, Saturday half-peak or off-peak, looked up by the hour.
 
     Spans are half-open. ``closed=True`` counts a span's last instant into it and resolves
     the overlap in favour of the dearer period, as the reference's price lookup does.
     """
-    summer = is_summer(ts)
-    morning_and_afternoon = _within(ts, 6, 11, closed) | _within(ts, 14, 24, closed)
-    workday = F.when(
-        summer,
-        F.when(_within(ts, 16, 22, closed), PEAK)
-        .when(_within(ts, 9, 16, closed) | _within(ts, 22, 24, closed), HALF_PEAK)
-        .otherwise(OFF_PEAK),
-    ).otherwise(F.when(morning_and_afternoon, HALF_PEAK).otherwise(OFF_PEAK))
-    saturday = F.when(
-        F.when(summer, _within(ts, 9, 24, closed)).otherwise(morning_and_afternoon), SATURDAY_HALF_PEAK
-    ).otherwise(OFF_PEAK)
-    return (
-        F.when(ts.isNull(), F.lit(None))
-        .when(F.dayofweek(ts) == 1, OFF_PEAK)
-        .when(F.dayofweek(ts) == 7, saturday)
-        .otherwise(workday)
-    )
+
+    def label(refine) -> Column:
+        summer = is_summer(ts)
+        saturday, workday = (
+            F.when(summer, _table(refine(_by_hour(in_summer)))).otherwise(_table(refine(_by_hour(otherwise))))
+            for in_summer, otherwise in ((SUMMER_SATURDAY, OTHER_SATURDAY), (SUMMER_WORKDAY, OTHER_WORKDAY))
+        )
+        return F.element_at(F.when(F.dayofweek(ts) == 7, saturday).otherwise(workday), F.hour(ts) + 1)
+
+    by_hour = label(list)
+    if closed:
+        on_the_hour = F.date_trunc("hour", ts).cast("timestamp_ntz") == ts
+        by_hour = F.when(on_the_hour, label(_with_last_instant)).otherwise(by_hour)
+    return F.when(F.dayofweek(ts) == 1, F.when(ts.isNotNull(), OFF_PEAK)).otherwise(by_hour)
 
 
 def rate_period_closed(ts: Column) -> Column:

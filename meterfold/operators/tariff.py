@@ -50,11 +50,7 @@ def with_electricity_rate(
         )
     )
     at = F.col(ts)
-    keyed = (
-        df.withColumn("_d", day_type(at))
-        .withColumn("_s", season_type(at))
-        .withColumn("_p", period_type(at, closed))
-    )
+    keyed = df.withColumns({"_d": day_type(at), "_s": season_type(at), "_p": period_type(at, closed)})
     in_force = (
         (F.col("_d") == F.col("_day"))
         & (F.col("_s") == F.col("_season"))
@@ -71,11 +67,8 @@ def with_electricity_rate(
 
 def with_charge_info(df: DataFrame, ts: str, electricity_rate: DataFrame, energy_charge: DataFrame) -> DataFrame:
     """Add ``period_type, charge_rate``; a bucket without a price is dropped."""
-    return (
-        with_electricity_rate(df, ts, electricity_rate, energy_charge)
-        .withColumn("period_type", period_type(F.col(ts)))
-        .filter(F.col("charge_rate").isNotNull())
-    )
+    priced = with_electricity_rate(df, ts, electricity_rate, energy_charge)
+    return priced.filter(F.col("charge_rate").isNotNull()).withColumn("period_type", period_type(F.col(ts)))
 
 
 def charge(consumption: Column, rate: Column) -> Column:
