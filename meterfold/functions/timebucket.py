@@ -80,13 +80,6 @@ def grain_bucket(ts: Column, grain: str, day_start: timedelta | None = DAY_START
     return calendar_bucket(ts, grain)
 
 
-def bucket_start(bucket: Column, grain: str, day_start: timedelta | None = DAY_START) -> Column:
-    """The first instant that falls into a bucket of :func:`grain_bucket`."""
-    if grain_name(grain) == "day" and day_start is not None:
-        return bucket + F.lit(day_start)
-    return bucket
-
-
 def log_day(ts: Column) -> Column:
     return F.to_date(ts)
 

@@ -167,8 +167,7 @@ def bucket_consumption_first(
     )
     if key_config is None:
         return spans
-    # one row per utility type, so the hint's side is bounded by the type list
-    keys = F.broadcast(key_config.select(F.col("accumulation_key_id").alias("key_id"), "consumption_key_id"))
+    keys = key_config.select(F.col("accumulation_key_id").alias("key_id"), "consumption_key_id")
     return spans.join(keys, "key_id")
 
 
@@ -212,34 +211,39 @@ def fleet_consumption(
     The watermark is applied to buckets and not to readings. A start is always a bucket's
     first instant, so both keep the same rows, and buckets are far fewer than readings.
     """
-    # both hints: one row per utility type
-    counters = F.broadcast(key_config.select(F.col("accumulation_key_id").alias("key_id")))
+    counters = key_config.select(F.col("accumulation_key_id").alias("key_id"))
     consumed = bucket_consumption_min(readings.join(counters, "key_id", "left_semi"), grain, s, day_start=day_start)
-    roles = F.broadcast(key_config.select("device_type", "accumulation_key_id", "consumption_key_id"))
-    wanted = devices.join(roles, "device_type").select(
-        "device_id",
-        "device_type",
-        "factory_id",
-        "entity_id",
-        F.col("accumulation_key_id").alias("key_id"),
-        "consumption_key_id",
+    roles = key_config.select(
+        "device_type", F.col("accumulation_key_id").alias("_counter"), F.col("consumption_key_id").alias("key_id")
     )
-    fleet = consumed.join(wanted, ["entity_id", "key_id"]).select(
-        "device_id",
-        "device_type",
-        "factory_id",
-        F.col("consumption_key_id").alias("key_id"),
-        F.col("bucket").alias("stat_time"),
-        F.col("energy_consumption").alias("consumption"),
+    wanted = with_restart(
+        devices.select("device_id", "device_type", "factory_id", "entity_id").join(roles, "device_type"), latest, grain
+    ).withColumnsRenamed({"key_id": "_consumption", "_counter": "key_id"})
+    return (
+        consumed.join(wanted, ["entity_id", "key_id"])
+        .filter(F.col("_restart").isNull() | (F.col("bucket") >= F.col("_restart")))
+        .select(
+            "device_id",
+            "device_type",
+            "factory_id",
+            F.col("_consumption").alias("key_id"),
+            F.col("bucket").alias("stat_time"),
+            F.col("energy_consumption").alias("consumption"),
+        )
     )
+
+
+def with_restart(series: DataFrame, latest: DataFrame | None, grain: str) -> DataFrame:
+    """Add ``_restart``, the first bucket to redo, to rows ``device_id, device_type, key_id``.
+
+    One row per device and key, so the join is small whatever the telemetry.
+    """
     if latest is None:
-        return fleet
-    known = latest.select("device_id", "device_type", "key_id", F.col("latest_stat_time").alias("_since"))
-    return (
-        fleet.join(known, ["device_id", "device_type", "key_id"], "left")
-        .filter(F.col("_since").isNull() | (F.col("stat_time") >= restart_bucket(F.col("_since"), grain)))
-        .drop("_since")
+        return series.withColumn("_restart", F.lit(None).cast("timestamp_ntz"))
+    known = latest.select(
+        "device_id", "device_type", "key_id", restart_bucket(F.col("latest_stat_time"), grain).alias("_restart")
     )
+    return series.join(known, ["device_id", "device_type", "key_id"], "left")
 
 
 def restart_bucket(since: Column, grain: str) -> Column:

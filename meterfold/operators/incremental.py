@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from meterfold.functions.timebucket import calendar_bucket, grain_name, timestamp_literal, ts_to_epoch_ms
+from meterfold.functions.timebucket import BEGINNING, calendar_bucket, grain_name, timestamp_literal, ts_to_epoch_ms
 
 SERIES_KEY = ["device_id", "device_type", "key_id"]
 
@@ -32,19 +32,18 @@ def since_watermark(
     column: str,
     strict: bool = False,
     restart: Callable[[Column], Column] | None = None,
-    default: datetime | None = None,
+    default: datetime = BEGINNING,
 ) -> DataFrame:
     """Rows of each series from its watermark on.
 
     ``strict`` excludes the watermark itself, ``restart`` maps it to another lower bound (the
-    start of its bucket). A series without watermark starts at ``default`` or is kept whole.
+    start of its bucket). A series without watermark starts at ``default``.
     """
     known = latest.select(*SERIES_KEY, F.col("latest_stat_time").alias("_since"))
     bound = F.col("_since") if restart is None else restart(F.col("_since"))
-    if default is not None:
-        bound = F.coalesce(bound, timestamp_literal(default))
+    bound = F.coalesce(bound, timestamp_literal(default))
     reached = F.col(column) > bound if strict else F.col(column) >= bound
-    return df.join(known, SERIES_KEY, "left").filter(bound.isNull() | reached).drop("_since")
+    return df.join(known, SERIES_KEY, "left").filter(reached).drop("_since")
 
 
 def advance_watermark(facts: DataFrame, offset: timedelta) -> DataFrame:

@@ -19,8 +19,8 @@ from meterfold.functions.timebucket import (
     timestamp_literal,
 )
 from meterfold.operators.carbon import ELECTRICITY_COEFFICIENT, carbon_by_device_type, carbon_by_param_name
-from meterfold.operators.consumption import delta_per_bucket, fleet_consumption, restart_bucket
-from meterfold.operators.incremental import since_watermark
+from meterfold.operators.consumption import delta_per_bucket, fleet_consumption, restart_bucket, with_restart
+from meterfold.operators.incremental import SERIES_KEY, since_watermark
 from meterfold.operators.series import Series
 from meterfold.operators.tariff import charge, with_charge_info
 
@@ -55,13 +55,6 @@ TOU_COLUMNS = [
 ]
 
 
-def _watermarked(facts: DataFrame, latest: DataFrame | None, grain: str) -> DataFrame:
-    """Keep the facts of the buckets from each series' watermark on."""
-    if latest is None:
-        return facts
-    return since_watermark(facts, latest, "stat_time", restart=lambda since: restart_bucket(since, grain))
-
-
 def minute_electricity(
     readings: DataFrame,
     devices: DataFrame,
@@ -73,10 +66,19 @@ def minute_electricity(
 ) -> DataFrame:
     """Counter steps per minute, with carbon. The watermark is kept under the counter key."""
     steps = delta_per_bucket(readings.filter(F.col("key_id") == ENERGY_KEY), s, "minute", skip_nulls)
-    facts = steps.join(devices.select("entity_id", "device_id", "device_type", "factory_id"), "entity_id").select(
-        "device_type", "device_id", "factory_id", "key_id", F.col("bucket").alias("stat_time"), F.col("delta").alias("dbl_stats")
+    meters = devices.select("entity_id", "device_id", "device_type", "factory_id").withColumn("key_id", F.lit(ENERGY_KEY))
+    facts = (
+        steps.join(with_restart(meters, latest, "minute"), ["entity_id", "key_id"])
+        .filter(F.col("_restart").isNull() | (F.col("bucket") >= F.col("_restart")))
+        .select(
+            "device_type",
+            "device_id",
+            "factory_id",
+            F.lit(CONSUMED_ENERGY_KEY).alias("key_id"),
+            F.col("bucket").alias("stat_time"),
+            F.col("delta").alias("dbl_stats"),
+        )
     )
-    facts = _watermarked(facts, latest, "minute").withColumn("key_id", F.lit(CONSUMED_ENERGY_KEY))
     return carbon_by_param_name(facts, param, param_name, "dbl_stats").select(
         *FACT_KEY, stat_type("minute").alias("stat_type"), "dbl_stats", "kgco2e"
     )
@@ -127,29 +129,33 @@ def hour_other(
     minutely: DataFrame, devices: DataFrame, key_config: DataFrame, latest: DataFrame | None = None
 ) -> DataFrame:
     """Hourly sum, average, extremes and carbon of minute consumption."""
-    own = _consumption_facts(minutely, devices, key_config)
-    hours = _watermarked(own, latest, "hour").groupBy(
-        "device_type", "device_id", "key_id", calendar_bucket(F.col("stat_time"), "hour").alias("stat_time")
-    )
 
     def or_zero(c: Column) -> Column:
         return F.coalesce(c, F.lit(0))
 
-    return hours.agg(
-        F.sum("dbl_stats").alias("dbl_stats"),
-        or_zero(F.avg("dbl_stats")).alias("dbl_avg"),
-        or_zero(F.min("dbl_stats")).alias("dbl_min"),
-        or_zero(F.max("dbl_stats")).alias("dbl_max"),
-        F.sum("kgco2e").alias("kgco2e"),
-    ).withColumn("stat_type", stat_type("hour"))
+    hours = (
+        minutely.filter(F.col("device_type") != "E")
+        .groupBy("device_type", "device_id", "key_id", calendar_bucket(F.col("stat_time"), "hour").alias("stat_time"))
+        .agg(
+            F.sum("dbl_stats").alias("dbl_stats"),
+            or_zero(F.avg("dbl_stats")).alias("dbl_avg"),
+            or_zero(F.min("dbl_stats")).alias("dbl_min"),
+            or_zero(F.max("dbl_stats")).alias("dbl_max"),
+            F.sum("kgco2e").alias("kgco2e"),
+        )
+    )
+    return (
+        hours.join(with_restart(_consumption_series(devices, key_config), latest, "hour"), SERIES_KEY)
+        .filter(F.col("_restart").isNull() | (F.col("stat_time") >= F.col("_restart")))
+        .drop("_restart")
+        .withColumn("stat_type", stat_type("hour"))
+    )
 
 
-def _consumption_facts(facts: DataFrame, devices: DataFrame, key_config: DataFrame) -> DataFrame:
-    """Facts of the devices' own consumption keys."""
-    # one row per utility type
-    roles = F.broadcast(key_config.select("device_type", F.col("consumption_key_id").alias("key_id")))
-    own = devices.select("device_id", "device_type").join(roles, "device_type").select("device_id", "key_id")
-    return facts.join(own, ["device_id", "key_id"], "left_semi")
+def _consumption_series(devices: DataFrame, key_config: DataFrame) -> DataFrame:
+    """The devices' own consumption keys, as ``device_id, device_type, key_id``."""
+    roles = key_config.select("device_type", F.col("consumption_key_id").alias("key_id")).distinct()
+    return devices.select("device_id", "device_type").join(roles, "device_type")
 
 
 def hour_rate_other(
@@ -175,16 +181,18 @@ def day_rate_other(
 
 
 def _average_rate(readings, devices, key_config, latest, grain, s) -> DataFrame:
-    # one row per utility type
-    roles = F.broadcast(key_config.select("device_type", F.col("rate_key_id").alias("key_id")))
+    roles = key_config.select("device_type", F.col("rate_key_id").alias("key_id"))
     averages = (
         readings.join(roles.select("key_id"), "key_id", "left_semi")
         .groupBy(*s.keys, calendar_bucket(F.col(s.ts), grain).alias("stat_time"))
         .agg(F.coalesce(F.avg(s.value), F.lit(0)).alias("dbl_stats"))
     )
     wanted = devices.select("entity_id", "device_id", "device_type").join(roles, "device_type")
-    facts = averages.join(wanted, ["entity_id", "key_id"])
-    return _watermarked(facts, latest, grain).select(*FACT_KEY, stat_type(grain).alias("stat_type"), "dbl_stats")
+    return (
+        averages.join(with_restart(wanted, latest, grain), ["entity_id", "key_id"])
+        .filter(F.col("_restart").isNull() | (F.col("stat_time") >= F.col("_restart")))
+        .select(*FACT_KEY, stat_type(grain).alias("stat_type"), "dbl_stats")
+    )
 
 
 def day_profile(
@@ -195,7 +203,8 @@ def day_profile(
     day_start: timedelta | None = DAY_START,
 ) -> DataFrame:
     """Production-day average and extremes of hourly consumption."""
-    own = _consumption_facts(hourly, devices, key_config)
+    # all three steps work on the series key, so the hours are shuffled once
+    own = hourly.join(_consumption_series(devices, key_config), SERIES_KEY, "left_semi")
     if latest is not None:
         own = since_watermark(own, latest, "stat_time", strict=True)
     return (
@@ -246,17 +255,13 @@ def day_rate(
     those are is known per device, and devices are joined to day rows rather than to
     readings; so each day row carries both variants until the join decides.
     """
-    # bounded by the list of names
     named = key_dictionary.filter(F.col("key").isin(*names)).select("key_id")
-    mapping = F.broadcast(
-        avg_key_config.join(named, F.col("rate_key_id") == F.col("key_id"))
-        .select(F.col("rate_key_id").alias(s.keys[1]), "avg_key_id")
-    )
+    mapping = avg_key_config.join(named, F.col("rate_key_id") == F.col("key_id")).select("key_id", "avg_key_id")
     value = F.col(s.value)
     recent = F.when(F.col(s.ts) > timestamp_literal(default_start), value)
     is_recent = F.col(s.ts) > timestamp_literal(default_start)
     days = (
-        readings.join(mapping, s.keys[1])
+        readings.join(mapping, "key_id")
         .groupBy("entity_id", "avg_key_id", grain_bucket(F.col(s.ts), "day", day_start).alias("stat_time"))
         .agg(
             F.avg(value).alias("_avg_all"),

@@ -66,10 +66,7 @@ def readings(
     attributes = devices.select("entity_id", "device_id", "device_type", "factory_id")
     if role == "named":
         return filter_named_keys(values, key_dictionary, names).join(attributes, "entity_id")
-    # one row per utility type
-    keys = F.broadcast(
-        key_config.select("device_type", F.col(ROLES[role]).alias("key_id"), "consumption_key_id")
-    )
+    keys = key_config.select("device_type", F.col(ROLES[role]).alias("key_id"), "consumption_key_id")
     return values.join(attributes.join(keys, "device_type"), ["entity_id", "key_id"])
 
 
@@ -111,8 +108,7 @@ def map_measure_keys(df: DataFrame, avg_key_config: DataFrame) -> DataFrame:
 
 def filter_named_keys(df: DataFrame, key_dictionary: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """Rows whose key has one of the names in the dictionary."""
-    # bounded by the list of names
-    wanted = F.broadcast(key_dictionary.filter(F.col("key").isin(*names)).select("key_id"))
+    wanted = key_dictionary.filter(F.col("key").isin(*names)).select("key_id")
     return df.join(wanted, "key_id", "left_semi")
 
 

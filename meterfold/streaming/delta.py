@@ -64,7 +64,8 @@ class DeltaStream:
 
     def _write(self, rows: DataFrame, part: str, partition: str) -> None:
         (
-            rows.write.mode("overwrite")
+            rows.hint("rebalance", partition)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition)
             .parquet(f"{self.root}/{part}")

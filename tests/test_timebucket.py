@@ -36,7 +36,6 @@ def test_buckets_of_every_grain(frame):
         "log": date(2024, 5, 17),
     }
     assert df.select(tb.grain_bucket(at, "DAY", None)).first()[0] == datetime(2024, 5, 17)
-    assert df.select(tb.bucket_start(tb.grain_bucket(at, "day"), "day")).first()[0] == datetime(2024, 5, 16, 8)
 
 
 def test_unknown_grain_is_an_error():
