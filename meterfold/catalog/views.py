@@ -133,7 +133,7 @@ class Views:
 
     @cached_property
     def counter(self) -> DataFrame:
-        totals = running_total(self.readings, SERIES, "_total", slice_grain="day")
+        totals = running_total(self.readings, SERIES, "_total")
         return totals.select("event_id", "entity_id", "key_id", "ts", F.col("_total").alias("value_c"))
 
     @cached_property

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +39,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no earlier run has used.
+
+    Paths are grouped by day, so that a retention rule on the folder can expire them.
+    """
+    return f"{shared_dir(spark)}/meterfold/{date.today().isoformat()}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

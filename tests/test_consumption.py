@@ -207,3 +207,16 @@ def test_fleet_starts_at_each_watermark(frame):
         ("dy", 1, 100),
         ("dy", 2, 0),
     ]
+
+
+@pytest.mark.parametrize("end", [None, datetime(2025, 6, 2)])
+def test_check_from_minutes_equals_check_from_readings(frame, end):
+    """The four verdicts come out as from the readings themselves, with resets and with a range."""
+    from meterfold.operators.quality import ROLLUP_CHECKS, rollup_mismatches
+
+    df = frame(as_text(random_readings(12)), SCHEMA)
+    start = None if end is None else datetime(2024, 1, 1, 0, 0, 30)
+    verdicts = {r["stat_type"]: r["check_result"] for r in verify_rollup(df, start=start, end=end).collect()}
+    for label, coarse, fine in ROLLUP_CHECKS:
+        wrong = rollup_mismatches(df, coarse, fine, start=start, end=end).filter("NOT matches").count()
+        assert verdicts[label] == ("NG" if wrong else "OK")
