@@ -83,3 +83,11 @@ def test_half_open(frame):
     df = frame([("2024-01-01",), ("2024-01-02",), ("2024-01-03",)], "bucket timestamp_ntz")
     kept = tb.half_open(df, "bucket", datetime(2024, 1, 1), datetime(2024, 1, 3)).count()
     assert (kept, tb.half_open(df, "bucket").count()) == (2, 3)
+
+
+def test_calendar_buckets_agree_with_the_general_truncation(frame):
+    """Before and after the epoch, leap days and week starts included."""
+    df = frame([("1911-02-28 23:59:59.999999",), ("1969-12-31 23:59:59.5",), ("2024-02-29 00:00:00",), ("2024-12-30 12:00:00",), (None,)], "ts timestamp_ntz")
+    for grain in ("second", "minute", "hour", "day", "week", "month", "quarter", "year"):
+        general = F.date_trunc(grain, "ts").cast("timestamp_ntz")
+        assert df.filter(~tb.calendar_bucket(F.col("ts"), grain).eqNullSafe(general)).count() == 0
