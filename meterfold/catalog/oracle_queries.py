@@ -319,6 +319,13 @@ ORACLES: dict[str, str] = {
         {_thousandths('dbl_stats')}, {_thousandths('long_stats')}, kgco2e
         FROM ({_period('month_other', 'year', 'o')}) y"""
     ),
+    "f14_run_grain": sql(
+        """SELECT device_type, device_id, CAST(key_id AS BIGINT) AS key_id, date_trunc('hour', stat_time) AS stat_time,
+        CAST(2 AS BIGINT) AS stat_type, CAST(sum(dbl_stats) AS DOUBLE) AS dbl_stats, avg(dbl_stats) AS dbl_avg,
+        CAST(min(dbl_stats) AS DOUBLE) AS dbl_min, CAST(max(dbl_stats) AS DOUBLE) AS dbl_max,
+        CAST(sum(kgco2e) AS DOUBLE) AS kgco2e
+        FROM minutely_other GROUP BY ALL"""
+    ),
     "g1_since_watermark": sql(
         """SELECT r.event_id, d.device_id, r.key_id, r.ts
         FROM readings r JOIN device d USING (entity_id) LEFT JOIN latest_day l ON l.device_id = d.device_id AND r.key_id = 142

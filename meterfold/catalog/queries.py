@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from meterfold.catalog.views import EXCLUDED, SERIES, TABLES, Views
 from meterfold.functions import period, timebucket
 from meterfold.operators import carbon, consumption, incremental, quality, statistics, tariff
+from meterfold.plans.jobs import Estate, run_grain
 from meterfold.session import fresh_path
 from meterfold.sources import telemetry
 from meterfold.sources.store import StatStore
@@ -464,6 +465,23 @@ def f9_day_rate_other(v: Views) -> DataFrame:
     return longs(facts, "key_id", "stat_type")
 
 
+@query
+def f14_run_grain(v: Views) -> DataFrame:
+    """The scheduled minute and hour runs of the other utilities, from telemetry to stored facts."""
+    estate = Estate(
+        ts_kv=v.as_telemetry(v.counter),
+        device=v.device.withColumn("device_id", F.col("device_id").cast("string")),
+        key_config=v.key_config,
+        param=v.param,
+        exclude_factories=EXCLUDED,
+    )
+    store = StatStore(v.spark, fresh_path(v.spark, "stats"))
+    for grain in ("minute", "hour"):
+        run_grain(estate, store, grain, "other", datetime(2024, 2, 1))
+    columns = [*statistics.FACT_KEY, "stat_type", "dbl_stats", "dbl_avg", "dbl_min", "dbl_max", "kgco2e"]
+    return longs(store.read("hourly").select(*columns), "device_id", "key_id", "stat_type")
+
+
 STORED_UNTIL = datetime(1998, 1, 1)
 
 

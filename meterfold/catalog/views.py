@@ -124,7 +124,12 @@ class Views:
 
     @cached_property
     def ts_kv(self) -> DataFrame:
-        return self.readings.select(
+        return self.as_telemetry(self.readings)
+
+    @staticmethod
+    def as_telemetry(readings: DataFrame) -> DataFrame:
+        """Readings the way telemetry is stored."""
+        return readings.select(
             "entity_id",
             F.col("key_id").alias("key"),
             ts_to_epoch_ms(F.col("ts")).alias("ts"),

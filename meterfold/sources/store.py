@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from meterfold.operators import incremental
 from meterfold.operators.incremental import SERIES_KEY, run_metrics
 from meterfold.operators.statistics import FACT_KEY
-from meterfold.session import materialise, read_or_empty
+from meterfold.session import materialise, path_exists, read_or_empty
 from meterfold.sources import schemas
 
 PERIOD = "period"
@@ -70,6 +70,12 @@ class StatStore:
         observed, metrics = run_metrics(shaped, f"run-{table}")
         return materialise(observed, f"rows-{table}"), metrics.get
 
+    def _completed(self, table: str, rows: DataFrame) -> DataFrame:
+        """All columns of the table; those ``rows`` lack are NULL."""
+        schema = TABLES[table][0]
+        columns = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        return rows.select(*columns, PERIOD)
+
     def _touched(self, table: str, staged: DataFrame) -> DataFrame:
         """The stored rows in the partitions of ``staged``: a list the calendar bounds."""
         periods = [row[PERIOD] for row in staged.select(PERIOD).distinct().collect()]
@@ -97,8 +103,12 @@ class StatStore:
     def upsert(self, table: str, rows: DataFrame, columns: list[str]) -> tuple[DataFrame, dict]:
         """Insert or overwrite ``columns``; gives the staged rows and the run's metrics."""
         staged, metrics = self._stage(table, rows)
-        stored = self._touched(table, staged)
-        self._replace(table, incremental.upsert(stored, staged, TABLES[table][1], columns))
+        if path_exists(self.spark, self.path(table)):
+            stored = self._touched(table, staged)
+            self._replace(table, incremental.upsert(stored, staged, TABLES[table][1], columns))
+        else:
+            # the first load has nothing to merge with
+            self._write(table, self._completed(table, staged), "overwrite")
         return staged, metrics
 
     def update_only(self, table: str, rows: DataFrame, columns: list[str]) -> tuple[DataFrame, dict]:
@@ -111,8 +121,7 @@ class StatStore:
         """Append; a key already stored is an error and nothing is written."""
         staged, metrics = self._stage(table, rows)
         incremental.insert_only(self._touched(table, staged), staged, TABLES[table][1])
-        missing = [f for f in TABLES[table][0].fields if f.name not in staged.columns]
-        self._write(table, staged.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}), "append")
+        self._write(table, self._completed(table, staged), "append")
         return staged, metrics
 
     def advance(self, table: str, marks: DataFrame) -> None:

@@ -45,11 +45,18 @@ def stream_bucket_stats(
 
 
 def upsert_stream(
-    stats: DataFrame, devices: DataFrame, store: StatStore, table: str, grain: str, checkpoint: str
+    stats: DataFrame,
+    devices: DataFrame,
+    store: StatStore,
+    table: str,
+    grain: str,
+    checkpoint: str,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Keep a fact table up to date with every bucket a micro-batch changed.
 
     Devices are joined to buckets, not to readings. A replayed batch overwrites its own rows.
+    ``trigger`` is Spark's, by default one pass over what is available.
     """
     columns = ["dbl_stats", "dbl_min", "dbl_max"]
 
@@ -61,6 +68,6 @@ def upsert_stream(
         stats.writeStream.outputMode("update")
         .foreachBatch(store_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -39,11 +39,12 @@ class DeltaStream:
             + [T.StructField(BATCH, T.LongType()), T.StructField(BUCKET, T.IntegerType())]
         )
 
-    def start(self, readings: DataFrame, checkpoint: str) -> StreamingQuery:
+    def start(self, readings: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+        """Process the stream; ``trigger`` is Spark's, by default one pass over what is available."""
         return (
             readings.writeStream.foreachBatch(self.process)
             .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
+            .trigger(**(trigger or {"availableNow": True}))
             .start()
         )
 
