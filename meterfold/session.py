@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from datetime import date
@@ -28,11 +29,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and tasks share one machine; ``local-cluster`` has executors of its own."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where the cluster names none."""
+    """The cluster's checkpoint folder; a temporary one only for a local master without it.
+
+    Executors of a cluster do not see the driver's temporary folder, so there the setting is required.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not is_local(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     fallback = tempfile.mkdtemp(prefix="meterfold-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback

@@ -10,6 +10,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
 from check_oracles import rows_of  # noqa: E402
+from meterfold.catalog.oracle_queries import ORACLES  # noqa: E402
+from meterfold.catalog.queries import QUERIES  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -25,7 +27,7 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_flagship(spark):
@@ -34,10 +36,10 @@ def test_flagship(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, tables, name):
-    df = entry.queries()[name](spark, SF_DIR)
-    result = tables.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    result = tables.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert rows_of(df.columns, df.collect()) == rows_of(columns, result.fetchall())
