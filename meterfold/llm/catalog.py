@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from meterfold.llm import exact, sharding, toxicity, urls
+from meterfold.llm import exact, packing, sharding, tokens, toxicity, urls
 from meterfold.llm.common import table
 
 
+def op2_token_files(spark, sf_dir):
+    return tokens.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op3_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op4_rendezvous_sharding(spark, sf_dir):
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
@@ -24,7 +30,17 @@ def op10_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op4_rendezvous_sharding, op5_toxicity, op8_exact_dedup, op10_url_filter)}
+LLM_QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_token_files,
+        op3_best_fit_packing,
+        op4_rendezvous_sharding,
+        op5_toxicity,
+        op8_exact_dedup,
+        op10_url_filter,
+    )
+}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
