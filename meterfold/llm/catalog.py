@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterfold.llm import exact, packing, sharding, tokens, toxicity, urls
+from meterfold.llm import exact, jaccard, packing, sharding, tokens, toxicity, urls
 from meterfold.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op8_exact_dedup(spark, sf_dir):
     return exact.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_jaccard(spark, sf_dir):
+    return jaccard.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -38,6 +42,7 @@ LLM_QUERIES = {
         op4_rendezvous_sharding,
         op5_toxicity,
         op8_exact_dedup,
+        op9_ngram_jaccard,
         op10_url_filter,
     )
 }
@@ -109,5 +114,23 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
   doc_id = max(doc_id) OVER same AS kept, h AS text_sha256
 FROM (SELECT doc_id, sha256(translate(coalesce(text, ''), {_LOWER})) AS h FROM documents)
 WINDOW same AS (PARTITION BY h)""",
+    "op9_ngram_jaccard": f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), {_LOWER}), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM split
+), incidence AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM incidence x JOIN incidence y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM documents
+  UNION SELECT reach.node, pairs.b FROM reach JOIN pairs ON reach.seen = pairs.a
+)
+SELECT doc_id, len(s) AS n_shingles, component_id
+FROM sets JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node) USING (doc_id)""",
     "op10_url_filter": _url_sql(),
 }
