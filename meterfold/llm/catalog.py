@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterfold.llm import exact, jaccard, packing, sharding, tokens, toxicity, urls
+from meterfold.llm import embeddings, exact, jaccard, packing, sharding, tokens, toxicity, urls
 from meterfold.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_embedding_near_dedup(spark, sf_dir):
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ LLM_QUERIES = {
         op3_best_fit_packing,
         op4_rendezvous_sharding,
         op5_toxicity,
+        op6_embedding_near_dedup,
         op8_exact_dedup,
         op9_ngram_jaccard,
         op10_url_filter,
@@ -109,6 +114,21 @@ FROM judged"""
 
 LLM_ORACLES = {
     "op4_rendezvous_sharding": _sharding_sql(),
+    "op6_embedding_near_dedup": """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::double[] AS v, sqrt(list_sum(list_transform(embedding::double[], lambda x: x * x))) AS norm
+  FROM embeddings
+), pairs AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y
+  ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v) AND list_inner_product(x.v, y.v) >= 0.95 * x.norm * y.norm
+  WHERE x.norm > 0 AND y.norm > 0
+), reach AS (
+  SELECT vec_id AS node, vec_id AS seen FROM vectors
+  UNION SELECT reach.node, pairs.b FROM reach JOIN pairs ON reach.seen = pairs.a
+), components AS (SELECT node AS vec_id, min(seen) AS component_id FROM reach GROUP BY node
+), links AS (SELECT a AS vec_id, count(*) AS n_links FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN components USING (vec_id) LEFT JOIN links USING (vec_id)""",
     "op8_exact_dedup": f"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   doc_id = max(doc_id) OVER same AS kept, h AS text_sha256
