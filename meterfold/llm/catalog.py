@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from meterfold.llm import embeddings, exact, jaccard, packing, sharding, tokens, toxicity, urls
 from meterfold.llm.common import table
 
@@ -51,6 +52,7 @@ LLM_QUERIES = {
         op10_url_filter,
     )
 }
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -154,3 +156,5 @@ SELECT doc_id, len(s) AS n_shingles, component_id
 FROM sets JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node) USING (doc_id)""",
     "op10_url_filter": _url_sql(),
 }
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
