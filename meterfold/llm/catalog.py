@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from meterfold.llm import embeddings, exact, jaccard, packing, sharding, tokens, toxicity, urls
+from meterfold.llm import embeddings, exact, jaccard, lm, packing, sharding, tokens, toxicity, urls
 from meterfold.llm.common import table
 
 
+def op1_stupid_backoff(spark, sf_dir):
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark, sf_dir):
     return tokens.round_trip(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op10_url_filter(spark, sf_dir):
 LLM_QUERIES = {
     f.__name__: f
     for f in (
+        op1_stupid_backoff,
         op2_token_files,
         op3_best_fit_packing,
         op4_rendezvous_sharding,
@@ -115,6 +120,33 @@ FROM judged"""
 
 
 LLM_ORACLES = {
+    "op1_stupid_backoff": f"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), {_LOWER}), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), corpus AS (SELECT sum(len(w)) AS n FROM split
+), positions AS (SELECT doc_id, len(w) AS n_words, unnest(w) AS word, unnest(list_prepend(NULL, w[:-2])) AS before FROM split
+), unigrams AS (SELECT word, count(*) AS c FROM positions GROUP BY word
+), own_unigrams AS (SELECT doc_id, word, count(*) AS c FROM positions GROUP BY doc_id, word
+), bigrams AS (SELECT before, word, count(*) AS c FROM positions WHERE before IS NOT NULL GROUP BY before, word
+), own_bigrams AS (SELECT doc_id, before, word, count(*) AS c FROM positions WHERE before IS NOT NULL GROUP BY doc_id, before, word
+), counted AS (
+  SELECT p.doc_id, p.before, corpus.n - p.n_words AS rest, u.c - ou.c AS word_c, b.c - ob.c AS pair_c, x.c - ox.c AS context_c
+  FROM positions p CROSS JOIN corpus
+  JOIN unigrams u ON u.word = p.word JOIN own_unigrams ou ON ou.doc_id = p.doc_id AND ou.word = p.word
+  LEFT JOIN bigrams b ON b.before = p.before AND b.word = p.word
+  LEFT JOIN own_bigrams ob ON ob.doc_id = p.doc_id AND ob.before = p.before AND ob.word = p.word
+  LEFT JOIN unigrams x ON x.word = p.before LEFT JOIN own_unigrams ox ON ox.doc_id = p.doc_id AND ox.word = p.before
+), scored AS (
+  SELECT doc_id, sum(CASE WHEN pair_c > 0 THEN ln(pair_c / context_c)
+      ELSE CASE WHEN before IS NULL THEN 0 ELSE ln({lm.BACKOFF}) END
+        + CASE WHEN word_c > 0 THEN ln(word_c / rest) ELSE -ln(rest + 1) END END) AS s,
+    count_if(pair_c > 0) AS n_seen, count_if(word_c = 0 AND coalesce(pair_c, 0) = 0) AS n_unseen
+  FROM counted GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_seen, 0)::bigint AS n_seen, coalesce(n_unseen, 0)::bigint AS n_unseen,
+  round(coalesce(s, 0), 6) AS log_score, CASE WHEN len(w) > 0 THEN round(s / len(w), 6) END AS per_word
+FROM split LEFT JOIN scored USING (doc_id)""",
     "op4_rendezvous_sharding": _sharding_sql(),
     "op6_embedding_near_dedup": """
 WITH RECURSIVE vectors AS (
