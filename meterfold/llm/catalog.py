@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from meterfold.llm import embeddings, exact, jaccard, lm, packing, sharding, tokens, toxicity, urls
+from meterfold.llm import embeddings, exact, jaccard, lm, packing, pieces, sharding, tokens, toxicity, urls
 from meterfold.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op6_embedding_near_dedup(spark, sf_dir):
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_gumbel_segmentation(spark, sf_dir):
+    return pieces.segmentation_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ LLM_QUERIES = {
         op4_rendezvous_sharding,
         op5_toxicity,
         op6_embedding_near_dedup,
+        op7_gumbel_segmentation,
         op8_exact_dedup,
         op9_ngram_jaccard,
         op10_url_filter,
