@@ -27,7 +27,7 @@ class Settings:
 
     max_toxic: int = 5_000
     max_unlabelled: int = 10_000
-    least_evidence: float = 10.0
+    least_evidence: float = 8.0
     models: int = 3
     steps: int = 400
     rate: float = 0.1
@@ -130,6 +130,8 @@ def fit_nnpu(toxic: _Sparse, unlabelled: _Sparse, prior: float, s: Settings) ->
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         theta -= s.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        # every feature was chosen as a sign of toxicity, so none may speak against it
+        theta[:-1] = np.maximum(theta[:-1], 0)
     return theta[:-1], float(theta[-1])
 
 
@@ -193,16 +195,18 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Toxicit
         .agg(F.max("toxic").alias("toxic"))
     )
     share = open_labels.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")]
+    texts = docs.select("doc_id", or_empty(F.col("text")).alias("text")).filter("doc_id is not null")
 
-    def sample(rows: DataFrame, size: int) -> list[np.ndarray]:
-        # ids are chosen first, so that only the chosen texts move
-        arrow = rows.orderBy(*order).limit(size).select(_features("text").alias("f")).toArrow()
+    def sample(ids: DataFrame, size: int) -> list[np.ndarray]:
+        # ids are chosen before texts are read: at most `size` of them, so they may be broadcast
+        chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size).distinct()
+        rows = texts.join(F.broadcast(chosen), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+        arrow = rows.orderBy("doc_id").select(_features("text").alias("f")).toArrow()
         return [np.asarray(f.values.to_numpy(), dtype=np.int64).view(np.uint64) for f in arrow["f"]]
 
-    texts = docs.select("doc_id", or_empty(F.col("text")).alias("text")).filter("doc_id is not null")
-    toxic = texts.join(open_labels.filter("toxic = 1").select("doc_id"), "doc_id", "left_semi")
-    return train(sample(toxic, s.max_toxic), sample(texts.filter(~held_out(F.col("doc_id"))), s.max_unlabelled), share, s)
+    toxic = sample(open_labels.filter("toxic = 1").select("doc_id"), s.max_toxic)
+    unlabelled = sample(texts.filter(~held_out(F.col("doc_id"))).select("doc_id"), s.max_unlabelled)
+    return train(toxic, unlabelled, share, s)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
