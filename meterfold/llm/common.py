@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from meterfold.session import materialise
 
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SLICE_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,13 +62,19 @@ def binary(array: np.ndarray, kind: str) -> bytes:
     return np.ascontiguousarray(array, dtype=kind).tobytes()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that what a step makes of whole texts stays small; none is empty."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def map_batches(df: DataFrame, step: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """``mapInArrow`` with a function from one batch to one table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from step(pa.Table.from_batches([batch])).to_batches()
+        for batch in slices(batches):
+            yield from step(pa.Table.from_batches([batch])).to_batches()
 
     return df.mapInArrow(run, schema)
 

@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterfold.llm.common import slices
 from meterfold.llm.tokens import VOCABULARY, encoded
 from meterfold.session import materialise
 
@@ -31,7 +32,7 @@ def cut_documents(docs: DataFrame, capacity: int = SEQUENCE, vocabulary: str = V
     """``doc_id, piece, start, length, ids_crc32`` of the encoded documents, each with its end id."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, pieces = [], []
             for row, raw in enumerate(encoded(batch.column("text").to_pylist(), vocabulary)):
                 for piece, (start, length) in enumerate(piece_bounds(len(raw) // 4, capacity)):

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterfold.llm.common import map_batches
+from meterfold.llm.common import map_batches, slices
 from meterfold.session import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -153,7 +153,7 @@ def write_tokens(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in slices(batches):
             ids = encoded(batch.column("text").to_pylist(), vocabulary)
             counts = np.array([len(i) // 4 for i in ids], dtype=np.int64)
             ends = np.cumsum(counts)
@@ -197,7 +197,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     # the window spans one row per file
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
-    return files.join(offsets, "part").select(
+    # one small row per file may be broadcast; the lists must not be shuffled to meet it
+    return files.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("offset") + F.col("first")).cast("bigint").alias("start"), F.col("n_tokens").cast("bigint"), "ids"
     )
 
@@ -208,8 +209,9 @@ def with_checksums(tokens: DataFrame) -> DataFrame:
     def sums(rows: pa.Table) -> pa.Table:
         found = []
         for chunk in rows["ids"].chunks:
-            raw, cuts = chunk.values.to_numpy(zero_copy_only=False).astype("<i4").tobytes(), chunk.offsets.to_numpy()
-            found += [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(cuts[:-1], cuts[1:])]
+            cuts = chunk.offsets.to_numpy()
+            raw = memoryview(chunk.values[cuts[0] : cuts[-1]].to_numpy(zero_copy_only=False).astype("<i4", copy=False)).cast("B")
+            found += [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(cuts[:-1] - cuts[0], cuts[1:] - cuts[0])]
         return rows.drop_columns(["ids"]).append_column("ids_crc32", pa.array(found, pa.int64()))
 
     kind = tokens.schema["doc_id"].dataType.simpleString()
