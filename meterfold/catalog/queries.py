@@ -687,7 +687,8 @@ def g7_run_metrics(v: Views) -> DataFrame:
 def _event_stream(v: Views) -> Views:
     """The same views over the events as a file stream."""
     streamed = Views(v.spark, v.sf_dir)
-    events = v.spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(v.sf_dir)
+    # the pattern matches the table whether it is one file or a folder of parts
+    events = v.spark.readStream.schema(TABLES["events"]).parquet(f"{v.sf_dir}/events.parquet*")
     streamed.table = lambda name: events if name == "events" else v.table(name)
     return streamed
 

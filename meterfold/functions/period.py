@@ -55,7 +55,7 @@ def period_type(ts: Column, closed: bool = False) -> Column:
     """Peak, half-peak, Saturday half-peak or off-peak, looked up by the hour.
 
     Spans are half-open. ``closed=True`` counts a span's last instant into it and resolves
-    the overlap in favour of the dearer period, as the reference's price lookup does.
+    the overlap in favour of the dearer period, as the price lookup does.
     """
 
     def label(refine) -> Column:

@@ -18,7 +18,7 @@ DAY_START = timedelta(hours=8)
 BEGINNING = datetime(1911, 1, 1)
 
 # A checked range must be longer than one unit. A month counts as 30 days and a
-# year as 360, which is how the reference's database compares intervals.
+# year as 360, the rule by which databases compare intervals of months and days.
 MINIMUM_RANGE = {
     "minute": timedelta(minutes=1),
     "hour": timedelta(hours=1),
@@ -51,6 +51,24 @@ def epoch_ms(moment: datetime) -> int:
     return calendar.timegm(moment.timetuple()) * 1000 + moment.microsecond // 1000
 
 
+def instant_ms(moment: datetime) -> Column:
+    """Epoch milliseconds of a wall-clock time of the session's zone, as a constant that reaches file scans."""
+    return ts_to_epoch_ms(timestamp_literal(moment))
+
+
+def wall_clock_instant(ts: Column) -> Column:
+    """The instant that reads in UTC what ``ts`` reads in the session's zone.
+
+    Fixed windows over instants begin at UTC midnight; over these they begin at local midnight.
+    """
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts).cast("timestamp")
+
+
+def instant_wall_clock(instant: Column) -> Column:
+    """The opposite of :func:`wall_clock_instant`."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+
+
 def epoch_ms_to_ts(ms: Column) -> Column:
     """Epoch milliseconds to a wall-clock time of whole seconds (truncated toward zero)."""
     seconds = F.call_function("div", ms, F.lit(1000))

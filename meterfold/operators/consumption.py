@@ -152,7 +152,8 @@ def bucket_consumption_first(
     """Consumption as the next observed bucket's first reading less this one's first.
 
     The newest bucket is measured to its own last reading. With ``key_config`` the counter
-    key is translated to ``consumption_key_id``.
+    key is translated to ``consumption_key_id``: by device type and key if the series has the
+    type, else by the key alone, which must then mean the same for every type.
     """
     if start is not None:
         readings = readings.filter(F.col(s.ts) >= timestamp_literal(start))
@@ -167,7 +168,13 @@ def bucket_consumption_first(
     )
     if key_config is None:
         return spans
-    keys = key_config.select(F.col("accumulation_key_id").alias("key_id"), "consumption_key_id")
+    keys = key_config.select("device_type", F.col("accumulation_key_id").alias("key_id"), "consumption_key_id")
+    if "device_type" in s.keys:
+        return spans.join(keys, ["device_type", "key_id"])
+    keys = keys.drop("device_type").distinct()
+    shared = keys.groupBy("key_id").count().filter("count > 1").limit(1).collect()
+    if shared:
+        raise ValueError(f"counter key {shared[0]['key_id']} means several things; give the series its device_type")
     return spans.join(keys, "key_id")
 
 

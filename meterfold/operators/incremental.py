@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from meterfold.functions.timebucket import BEGINNING, calendar_bucket, grain_name, timestamp_literal, ts_to_epoch_ms
+from meterfold.functions.timebucket import BEGINNING, DAY_START, calendar_bucket, grain_name, timestamp_literal, ts_to_epoch_ms
 
 SERIES_KEY = ["device_id", "device_type", "key_id"]
 
@@ -136,12 +136,18 @@ def run_metrics(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     )
 
 
-def rewind_watermark(latest: DataFrame, late: DataFrame) -> DataFrame:
-    """Watermarks set back to the oldest late reading, so that the next run redoes its bucket.
+def rewind_watermark(latest: DataFrame, late: DataFrame, grain: str = "minute", day_start: timedelta = DAY_START) -> DataFrame:
+    """Watermarks set back to the oldest late reading's bucket, so that the next run redoes all of it.
 
-    ``late`` holds ``device_id, device_type, key_id, ts``.
+    ``late`` holds ``device_id, device_type, key_id, ts``. ``grain`` names the watermark's bucket as
+    in ``WATERMARK_OFFSET``: the new mark is that bucket's own, the start of the minute, hour,
+    production day (``day``) or calendar day plus the grain's offset. A mark in the middle of a
+    bucket would let a job redo it from a part of its readings.
     """
-    oldest = late.groupBy(*SERIES_KEY).agg(F.min("ts").alias("_late"))
+    unit = {"minute_electricity": "minute", "calendar_day": "day"}.get(grain, grain)
+    at = F.col("ts") - F.lit(day_start) if grain == "day" else F.col("ts")
+    bucket = calendar_bucket(at, unit) + F.lit(WATERMARK_OFFSET[grain])
+    oldest = late.groupBy(*SERIES_KEY).agg(F.min(bucket).alias("_late"))
     moved = F.least("latest_stat_time", "_late")
     return (
         latest.join(oldest, SERIES_KEY, "left")

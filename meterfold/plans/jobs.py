@@ -14,13 +14,14 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterfold.functions.timebucket import DAY_START, add_months, production_day, timestamp_literal
+from meterfold.functions.timebucket import DAY_START, add_months, production_day, timestamp_literal, ts_to_epoch_ms
 from meterfold.operators import incremental, statistics
 from meterfold.operators.incremental import WATERMARK_OFFSET
 from meterfold.operators.series import TELEMETRY
 from meterfold.operators.statistics import CONSUMED_ENERGY_KEY, ENERGY_KEY, TOU_COLUMNS
 from meterfold.operators.tariff import tou_split
-from meterfold.sources.store import StatStore
+from meterfold.session import materialise
+from meterfold.sources.store import SEARCHED, StatStore
 from meterfold.sources.telemetry import (
     ELECTRICITY,
     EXCLUDED_FACTORIES,
@@ -31,9 +32,8 @@ from meterfold.sources.telemetry import (
     telemetry_values,
 )
 
-# Ids up to this number go into the file scan's filter instead of a join.
-PUSHED_IDS = 1000
-
+# Scans for the fleet start at the watermark that this share of the series has not reached.
+LAGGING_SHARE = 0.05
 
 @dataclass
 class Estate:
@@ -73,7 +73,10 @@ def _floor(moment: datetime, grain: str) -> datetime:
     if grain == "minute":
         return start
     start = start.replace(minute=0)
-    return start if grain == "hour" else start.replace(hour=0)
+    if grain == "hour":
+        return start
+    start = start.replace(hour=0)
+    return {"day": start, "month": start.replace(day=1), "year": start.replace(month=1, day=1)}[grain]
 
 
 def _values(estate: Estate, start: datetime | None, end: datetime | None = None) -> DataFrame:
@@ -81,92 +84,157 @@ def _values(estate: Estate, start: datetime | None, end: datetime | None = None)
 
 
 def _only(df: DataFrame, column: str, chosen: DataFrame) -> DataFrame:
-    """Rows of the chosen ids: a short list goes to the file scan, a long one is joined."""
-    ids = [row[0] for row in chosen.limit(PUSHED_IDS + 1).collect()]
-    if len(ids) <= PUSHED_IDS:
-        return df.filter(F.col(column).isin(ids))
+    """Rows of the chosen ids. The ids are few next to the rows; Spark sees their size and picks the join."""
     return df.join(chosen, column, "left_semi")
 
 
-def _from_oldest_watermark(
-    devices: DataFrame,
-    keys: DataFrame,
+def _from_watermarks(
+    series: DataFrame,
     latest: DataFrame,
+    searched: DataFrame | None,
     grain: str,
     load: Callable[[datetime | None, datetime | None], DataFrame],
     id_column: str,
     shift: timedelta = timedelta(0),
+    unseen_since: datetime | None = None,
 ) -> DataFrame:
-    """What ``load`` gives from the oldest watermark on, so that older files are not opened.
+    """What ``load`` gives from the watermarks of ``series`` on, in bands, so that few files are opened.
 
-    Series without a watermark have to be read from their beginning; the older files are
-    read for them alone. ``keys`` are ``device_type, key_id``; ``load`` takes start and end.
+    The fleet is read from the watermark that all but a few series have passed. Older files are
+    read for the series behind it alone, from the oldest of those on, and for a series without a
+    watermark from its beginning (or ``unseen_since``) or from where ``searched`` says that earlier
+    runs have looked for it in vain. So a dead or a silent meter costs its own readings, not a scan
+    of everybody's. ``series`` holds ``device_id, device_type, key_id`` and ``id_column``.
     """
-    known = latest.select(*incremental.SERIES_KEY, "latest_stat_time")
-    series = (
-        devices.select("device_id", "device_type", "entity_id")
-        .join(keys, "device_type")
-        .join(known, incremental.SERIES_KEY, "left")
+    marks = latest.select(*incremental.SERIES_KEY, F.col("latest_stat_time").alias("_mark"))
+    if searched is not None:
+        looked = searched.select(*incremental.SERIES_KEY, F.col("latest_stat_time").alias("_looked"))
+        marks = marks.join(looked, incremental.SERIES_KEY, "full_outer").select(
+            *incremental.SERIES_KEY, F.coalesce("_mark", "_looked").alias("_mark")
+        )
+    known = materialise(series.join(marks, incremental.SERIES_KEY, "left"), "job-series")
+    row = known.agg(
+        F.percentile_approx("_mark", LAGGING_SHARE).alias("fleet"),
+        F.min("_mark").alias("oldest"),
+        F.count_if(F.col("_mark").isNull()).alias("unseen"),
+    ).first()
+    if row["fleet"] is None:
+        return load(unseen_since, None)
+    start, oldest = _floor(row["fleet"], grain) + shift, _floor(row["oldest"], grain) + shift
+    found = load(start, None)
+    if oldest < start:
+        behind = known.filter(F.col("_mark") < timestamp_literal(start - shift)).select(id_column).distinct()
+        found = found.unionByName(_only(load(oldest, start), id_column, behind))
+    if row["unseen"] and (unseen_since is None or unseen_since < start):
+        # the band of those behind may hold some of their rows already: take the others only
+        seen = known.groupBy(id_column).agg(F.min("_mark").alias("_mark"), F.count_if(F.col("_mark").isNull()).alias("_new"))
+        fresh = seen.filter("_new > 0")
+        before = F.col("_mark").isNull() | (F.col("_mark") >= timestamp_literal(start - shift)) if oldest < start else F.lit(True)
+        whole = fresh.filter(before).select(id_column)
+        found = found.unionByName(_only(load(unseen_since, start), id_column, whole))
+        if oldest < start and (unseen_since is None or unseen_since < oldest):
+            rest = fresh.filter(~before).select(id_column)
+            found = found.unionByName(_only(load(unseen_since, oldest), id_column, rest))
+    return found
+
+
+def _series(devices: DataFrame, keys: DataFrame) -> DataFrame:
+    return devices.select("device_id", "device_type", "entity_id").join(keys, "device_type")
+
+
+def _read_series(estate: Estate, devices: DataFrame, role: str) -> DataFrame:
+    """The devices' watermark keys in a role, and under ``reading_key`` the key their readings carry."""
+    reading = "accumulation" if role == "consumption" else role
+    keys = estate.key_config.select(
+        "device_type", F.col(f"{role}_key_id").alias("key_id"), F.col(f"{reading}_key_id").alias("reading_key")
     )
-    unseen = F.col("latest_stat_time").isNull()
-    row = series.agg(F.min("latest_stat_time").alias("oldest"), F.count_if(unseen).alias("unseen")).first()
-    if row["oldest"] is None:
-        return load(None, None)
-    start = _floor(row["oldest"], grain) + shift
-    recent = load(start, None)
-    if not row["unseen"]:
-        return recent
-    return recent.unionByName(_only(load(None, start), id_column, series.filter(unseen).select(id_column).distinct()))
-
-
-def _telemetry(estate: Estate, devices: DataFrame, role: str, latest: DataFrame, grain: str, shift=timedelta(0)) -> DataFrame:
-    return _from_oldest_watermark(
-        devices, _keys(estate, role), latest, grain, lambda a, b: _values(estate, a, b), "entity_id", shift
+    return _series(devices, keys)
+
+
+def _telemetry(
+    estate: Estate, store: StatStore, devices: DataFrame, role: str, table: str, grain: str, shift=timedelta(0)
+) -> tuple[DataFrame, tuple[DataFrame, DataFrame]]:
+    """Readings from the watermarks on, and what :func:`_mark_searched` needs of them."""
+    series = _read_series(estate, devices, role)
+    values = _from_watermarks(
+        series.drop("reading_key"),
+        store.read(table),
+        store.read(SEARCHED[table]),
+        grain,
+        lambda a, b: _values(estate, a, b),
+        "entity_id",
+        shift,
     )
+    return values, (series, values)
 
 
-def _facts(store: StatStore, table: str, estate: Estate, devices: DataFrame, latest: DataFrame, grain: str) -> DataFrame:
-    return _from_oldest_watermark(
-        devices, _keys(estate, "consumption"), latest, grain, lambda a, b: store.read(table, a, b), "device_id"
-    )
+def _mark_searched(store: StatStore, table: str, series: DataFrame, values: DataFrame) -> None:
+    """Note for the series without a watermark and without any reading how far the telemetry was searched.
+
+    ``series`` has the counter's or rate's key as ``reading_key``. Nothing is read where every
+    series has a watermark.
+    """
+    marks = store.read(table).select(*incremental.SERIES_KEY)
+    unseen = materialise(series.join(marks, incremental.SERIES_KEY, "left_anti").distinct(), "job-unseen")
+    if not unseen.limit(1).collect():
+        return
+    present = materialise(values.groupBy("entity_id", "key_id").agg(F.max("ts").alias("t")), "job-present")
+    until = present.agg(F.max("t").alias("t")).first()["t"]
+    if until is None:
+        return
+    found = present.select("entity_id", F.col("key_id").alias("reading_key"))
+    silent = unseen.join(found, ["entity_id", "reading_key"], "left_anti").select(*incremental.SERIES_KEY)
+    # a day earlier, as the newest buckets are still open
+    mark = timestamp_literal(until.replace(minute=0, second=0, microsecond=0) - timedelta(days=1))
+    rows = silent.withColumn("latest_stat_time", mark).withColumn("latest_epoch", ts_to_epoch_ms(F.col("latest_stat_time")))
+    store.advance(SEARCHED[table], rows)
+
+
+def _facts(
+    store: StatStore, table: str, estate: Estate, devices: DataFrame, latest: DataFrame, grain: str
+) -> DataFrame:
+    series = _series(devices, _keys(estate, "consumption"))
+    return _from_watermarks(series, latest, None, grain, lambda a, b: store.read(table, a, b), "device_id")
 
 
 def _counter_with_baseline(estate: Estate, devices: DataFrame, latest: DataFrame) -> DataFrame:
-    """Electricity counters from the oldest watermark on, and each one's last reading before its own.
+    """Electricity counters from the watermarks on, and each one's last reading before its own.
 
-    Most meters have that reading within the month before. For those that were silent longer,
-    and only for those, older files are searched.
+    Most meters have that reading within the month before the fleet's watermark. Older files are
+    searched only for those that were silent longer, that lag behind, or that have no watermark.
     """
 
     def load(start: datetime | None, end: datetime | None) -> DataFrame:
         return _values(estate, start, end).filter(F.col("key_id") == ENERGY_KEY)
 
-    marked = (
+    marked = materialise(
         devices.select("device_id", "device_type", "entity_id")
         .join(latest.filter(F.col("key_id") == ENERGY_KEY), ["device_id", "device_type"], "left")
-        .select("entity_id", F.date_trunc("minute", "latest_stat_time").cast("timestamp_ntz").alias("bound"))
+        .groupBy("entity_id")
+        .agg(F.min(F.date_trunc("minute", "latest_stat_time").cast("timestamp_ntz")).alias("bound")),
+        "job-meters",
     )
-    oldest = marked.agg(F.min("bound").alias("m")).first()["m"]
-    if oldest is None:
+    fleet = marked.agg(F.percentile_approx("bound", LAGGING_SHARE).alias("m")).first()["m"]
+    if fleet is None:
         return load(None, None)
-    horizon = add_months(oldest, -1)
+    horizon = add_months(fleet, -1)
     recent = load(horizon, None)
     begins = recent.groupBy("entity_id").agg(F.min("ts").alias("first_ts"))
-    unseen = marked.filter(F.col("bound").isNull()).select("entity_id").distinct()
-    silent = (
-        marked.filter(F.col("bound").isNotNull())
-        .join(begins, "entity_id", "left")
-        .filter(F.col("first_ts").isNull() | (F.col("first_ts") >= F.col("bound")))
-        .select("entity_id")
-        .distinct()
+    # without a reading before its own bound among the recent ones
+    needy = materialise(
+        marked.join(begins, "entity_id", "left")
+        .filter(F.col("bound").isNull() | F.col("first_ts").isNull() | (F.col("first_ts") >= F.col("bound")))
+        .select("entity_id", "bound"),
+        "job-baselines",
     )
+    older = load(None, horizon).join(needy, "entity_id")
+    after = F.col("bound").isNull() | (F.col("ts") >= F.col("bound"))
     last = (
-        _only(load(None, horizon), "entity_id", silent)
+        older.filter(~after)
         .groupBy("entity_id", "key_id")
         .agg(F.max("ts_ms").alias("ts_ms"), F.max("ts").alias("ts"), F.max_by("value", "ts_ms").alias("value"))
     )
-    whole = _only(load(None, horizon), "entity_id", unseen.join(silent, "entity_id", "left_anti"))
-    return recent.unionByName(last.select(recent.columns)).unionByName(whole)
+    return recent.unionByName(last.select(recent.columns)).unionByName(older.filter(after).select(recent.columns))
 
 
 def _finish(job: str, began: float, metrics: dict) -> Run:
@@ -194,7 +262,7 @@ def minute_electricity(
 
     A device without a watermark is not due. ``stale_after=None`` takes every device.
     """
-    began = time.monotonic()
+    began, store = time.monotonic(), store.owned_by("electricity")
     devices = _eligible(estate, types=ELECTRICITY)
     latest = store.read("minute_latest")
     if stale_after is not None:
@@ -218,26 +286,33 @@ def _run(
     latest_table: str | None,
     offset: timedelta | None,
     write: Callable | None = None,
+    searched: tuple[DataFrame, DataFrame] | None = None,
 ) -> Run:
+    """Store facts, then the watermarks, then how far was searched for series that have none."""
     began = time.monotonic()
     stored, metrics = (write or store.upsert)(table, facts, columns)
     if latest_table is not None:
         store.advance(latest_table, incremental.advance_watermark(stored, offset))
+    if searched is not None:
+        _mark_searched(store, latest_table, *searched)
     return _finish(job, began, metrics)
 
 
 def minute_other(estate: Estate, store: StatStore, as_of: datetime) -> Run:
+    store = store.owned_by("other")
     devices, latest = _eligible(estate, exclude_types=ELECTRICITY), store.read("minute_latest")
-    values = _telemetry(estate, devices, "consumption", latest, "minute")
+    values, searched = _telemetry(estate, store, devices, "consumption", "minute_latest", "minute")
     facts = statistics.minute_other(values, devices, estate.key_config, estate.param, latest, TELEMETRY)
     columns = ["dbl_stats", "kgco2e"]
-    return _run("minute_other", store, "minutely", facts, columns, "minute_latest", WATERMARK_OFFSET["minute"])
+    return _run("minute_other", store, "minutely", facts, columns, "minute_latest", WATERMARK_OFFSET["minute"], None, searched)
 
 
 def hour_electricity(estate: Estate, store: StatStore, as_of: datetime) -> Run:
+    store = store.owned_by("electricity")
     devices, latest = _eligible(estate, types=ELECTRICITY), store.read("hour_latest")
+    values, searched = _telemetry(estate, store, devices, "consumption", "hour_latest", "hour")
     facts = statistics.hour_electricity(
-        _telemetry(estate, devices, "consumption", latest, "hour"),
+        values,
         devices,
         estate.key_config,
         estate.param,
@@ -247,10 +322,11 @@ def hour_electricity(estate: Estate, store: StatStore, as_of: datetime) -> Run:
         TELEMETRY,
     )
     columns = ["dbl_stats", "charge", "period_type", "kgco2e"]
-    return _run("hour_electricity", store, "hourly", facts, columns, "hour_latest", WATERMARK_OFFSET["hour"])
+    return _run("hour_electricity", store, "hourly", facts, columns, "hour_latest", WATERMARK_OFFSET["hour"], None, searched)
 
 
 def hour_other(estate: Estate, store: StatStore, as_of: datetime) -> Run:
+    store = store.owned_by("other")
     devices, latest = _eligible(estate, exclude_types=ELECTRICITY), store.read("hour_latest")
     minutely = _facts(store, "minutely", estate, devices, latest, "hour")
     facts = statistics.hour_other(minutely, devices, estate.key_config, latest)
@@ -259,14 +335,16 @@ def hour_other(estate: Estate, store: StatStore, as_of: datetime) -> Run:
 
 
 def hour_rate_other(estate: Estate, store: StatStore, as_of: datetime) -> Run:
+    store = store.owned_by("other_rate")
     devices, latest = _eligible(estate, exclude_types=ELECTRICITY), store.read("hour_latest")
-    values = _telemetry(estate, devices, "rate", latest, "hour")
+    values, searched = _telemetry(estate, store, devices, "rate", "hour_latest", "hour")
     facts = statistics.hour_rate_other(values, devices, estate.key_config, latest, TELEMETRY)
-    return _run("hour_rate_other", store, "hourly", facts, ["dbl_stats"], "hour_latest", WATERMARK_OFFSET["hour"])
+    return _run("hour_rate_other", store, "hourly", facts, ["dbl_stats"], "hour_latest", WATERMARK_OFFSET["hour"], None, searched)
 
 
 def day_profile(estate: Estate, store: StatStore, as_of: datetime) -> Run:
     """The day's average and extremes; its watermark is advanced by :func:`day_consumption`."""
+    store = store.owned_by("consumption")
     devices, latest = _eligible(estate), store.read("day_latest")
     hourly = _facts(store, "hourly", estate, devices, latest, "day")
     facts = statistics.day_profile(hourly, devices, estate.key_config, latest)
@@ -275,31 +353,44 @@ def day_profile(estate: Estate, store: StatStore, as_of: datetime) -> Run:
 
 
 def day_consumption(estate: Estate, store: StatStore, as_of: datetime) -> Run:
+    store = store.owned_by("consumption")
     devices, latest = _eligible(estate), store.read("day_latest")
-    values = _telemetry(estate, devices, "consumption", latest, "day", DAY_START)
+    values, searched = _telemetry(estate, store, devices, "consumption", "day_latest", "day", DAY_START)
     facts = statistics.day_consumption(
         values, devices, estate.key_config, estate.param, latest, TELEMETRY
     )
-    columns = ["dbl_stats", "kgco2e"]
-    return _run(
-        "day_consumption", store, "daily", facts, columns, "day_latest", WATERMARK_OFFSET["day"], store.update_only
-    )
+    columns, offset = ["dbl_stats", "kgco2e"], WATERMARK_OFFSET["day"]
+    return _run("day_consumption", store, "daily", facts, columns, "day_latest", offset, store.update_only, searched)
 
 
 def day_tou(estate: Estate, store: StatStore, as_of: datetime, since: datetime | None = None) -> Run:
-    """Peak, partial and off-peak shares of the stored production days, on request from ``since`` on."""
-    hours = store.read("hourly", since).filter(F.col("key_id") == CONSUMED_ENERGY_KEY)
+    """Peak, partial and off-peak shares of the production days since the last run, or from ``since`` on.
+
+    The job has watermarks of its own, as it may run at other times than the day's consumption.
+    """
+    store = store.owned_by("consumption")
+    latest = store.read("tou_latest")
     if since is not None:
+        hours = store.read("hourly", since).filter(F.col("key_id") == CONSUMED_ENERGY_KEY)
         hours = hours.filter(production_day(F.col("stat_time")) >= timestamp_literal(since))
-    return _run("day_tou", store, "daily", tou_split(hours), TOU_COLUMNS, None, None, store.update_only)
+    else:
+        meters = _series(_eligible(estate, types=ELECTRICITY), _keys(estate, "consumption"))
+        meters = meters.filter(F.col("key_id") == CONSUMED_ENERGY_KEY)
+        hours = _from_watermarks(
+            meters, latest, None, "day", lambda a, b: store.read("hourly", a, b), "device_id", DAY_START
+        ).filter(F.col("key_id") == CONSUMED_ENERGY_KEY)
+        hours = incremental.since_watermark(hours, latest, "stat_time", strict=True)
+    shares, offset = tou_split(hours), WATERMARK_OFFSET["day"]
+    return _run("day_tou", store, "daily", shares, TOU_COLUMNS, "tou_latest", offset, store.update_only)
 
 
 def day_rate(
     estate: Estate, store: StatStore, as_of: datetime, default_start: datetime = statistics.MEASURES_SINCE
 ) -> Run:
+    store = store.owned_by("measures")
     devices, latest = _eligible(estate), store.read("day_latest")
     facts = statistics.day_rate(
-        _values(estate, _measures_start(estate, devices, latest, default_start)),
+        _measures(estate, devices, latest, default_start),
         devices,
         estate.avg_key_config,
         estate.key_dictionary,
@@ -311,29 +402,59 @@ def day_rate(
     return _run("day_rate", store, "daily", facts, columns, "day_latest", WATERMARK_OFFSET["day"])
 
 
-def _measures_start(estate: Estate, devices: DataFrame, latest: DataFrame, default_start: datetime) -> datetime:
-    """Where the scan of instantaneous values may begin: the oldest watermark or the default."""
+def _measures(estate: Estate, devices: DataFrame, latest: DataFrame, default_start: datetime) -> DataFrame:
+    """Instantaneous values from each device's oldest average on; from the default for one that has none."""
     averages = latest.join(estate.avg_key_config.select(F.col("avg_key_id").alias("key_id")), "key_id", "left_semi")
-    oldest = (
-        averages.join(devices, ["device_id", "device_type"], "left_semi").agg(F.min("latest_stat_time").alias("m")).first()["m"]
+    oldest = averages.groupBy("device_id", "device_type").agg(F.min("latest_stat_time").alias("latest_stat_time"))
+    every = F.lit(0).alias("key_id")
+    return _from_watermarks(
+        devices.select("device_id", "device_type", "entity_id", every),
+        oldest.select("device_id", "device_type", every, "latest_stat_time"),
+        None,
+        "day",
+        lambda a, b: _values(estate, a, b),
+        "entity_id",
+        DAY_START,
+        unseen_since=default_start,
     )
-    return default_start if oldest is None else min(default_start, _floor(oldest, "day") + DAY_START)
 
 
 def day_rate_other(estate: Estate, store: StatStore, as_of: datetime) -> Run:
+    store = store.owned_by("other_rate")
     devices, latest = _eligible(estate, exclude_types=ELECTRICITY), store.read("day_latest")
-    values = _telemetry(estate, devices, "rate", latest, "day")
+    values, searched = _telemetry(estate, store, devices, "rate", "day_latest", "day")
     facts = statistics.day_rate_other(values, devices, estate.key_config, latest, TELEMETRY)
-    return _run("day_rate_other", store, "daily", facts, ["dbl_stats"], "day_latest", WATERMARK_OFFSET["calendar_day"])
+    offset = WATERMARK_OFFSET["calendar_day"]
+    return _run("day_rate_other", store, "daily", facts, ["dbl_stats"], "day_latest", offset, None, searched)
 
 
 def _of_devices(facts: DataFrame, devices: DataFrame) -> DataFrame:
     return facts.join(devices.select("device_id"), "device_id", "left_semi")
 
 
+def _rolled_keys(estate: Estate) -> DataFrame:
+    names = (*statistics.FLOW_RATES, *statistics.CONSUMED_VOLUMES)
+    return estate.key_dictionary.filter(F.col("key").isin(*names)).select("key_id")
+
+
+def _open_periods(store: StatStore, source: str, target: str, devices: DataFrame, keys: DataFrame) -> DataFrame:
+    """Facts of the periods that may still be missing or open, by device.
+
+    The fleet is read from its newest stored period on; devices behind it, or with one of ``keys``
+    that is not stored yet, from the beginning.
+    """
+    stored = store.read(target).groupBy(*incremental.SERIES_KEY).agg(F.max("stat_time").alias("latest_stat_time"))
+    rolled = store.read("day_latest").select(*incremental.SERIES_KEY).join(keys.select("key_id"), "key_id", "left_semi")
+    series = rolled.distinct().join(devices.select("device_id"), "device_id", "left_semi")
+    grain = {"monthly": "month", "yearly": "year"}[target]
+    return _from_watermarks(series, stored, None, grain, lambda a, b: store.read(source, a, b), "device_id")
+
+
 def month_electricity(estate: Estate, store: StatStore, as_of: datetime, refresh_open: bool = False) -> Run:
     """Months after the newest one stored; ``refresh_open`` redoes that one as well."""
-    daily = _of_devices(store.read("daily"), _eligible(estate, types=ELECTRICITY))
+    store = store.owned_by("electricity")
+    devices = _eligible(estate, types=ELECTRICITY)
+    daily = _of_devices(_open_periods(store, "daily", "monthly", devices, estate.device_keys), devices)
     months = statistics.period_electricity(daily, estate.device_keys, "month").drop("long_stats")
     facts = incremental.beyond_high_water(months, store.read("monthly"), "month", refresh_open)
     if refresh_open:
@@ -347,14 +468,18 @@ def month_electricity(estate: Estate, store: StatStore, as_of: datetime, refresh
 
 def month_other(estate: Estate, store: StatStore, as_of: datetime, refresh_open: bool = False) -> Run:
     devices = eligible_devices(estate.device, types=OTHER_UTILITIES, exclude_factories=())
-    months = statistics.period_other(_of_devices(store.read("daily"), devices), estate.key_dictionary, "month")
+    store = store.owned_by("other")
+    daily = _of_devices(_open_periods(store, "daily", "monthly", devices, _rolled_keys(estate)), devices)
+    months = statistics.period_other(daily, estate.key_dictionary, "month")
     facts = incremental.beyond_high_water(months, store.read("monthly"), "month", refresh_open)
     return _run("month_other", store, "monthly", facts, ["long_stats", "dbl_stats", "kgco2e"], None, None)
 
 
 def year_electricity(estate: Estate, store: StatStore, as_of: datetime, refresh_open: bool = False) -> Run:
     devices = eligible_devices(estate.device, types=ELECTRICITY, exclude_factories=())
-    years = statistics.period_electricity(_of_devices(store.read("monthly"), devices), estate.device_keys, "year")
+    store = store.owned_by("electricity")
+    monthly = _of_devices(_open_periods(store, "monthly", "yearly", devices, estate.device_keys), devices)
+    years = statistics.period_electricity(monthly, estate.device_keys, "year")
     facts = incremental.beyond_high_water(years, store.read("yearly"), "year", refresh_open)
     columns = ["long_stats", "dbl_stats", *TOU_COLUMNS, "kgco2e"]
     return _run("year_electricity", store, "yearly", facts, columns, None, None)
@@ -362,7 +487,9 @@ def year_electricity(estate: Estate, store: StatStore, as_of: datetime, refresh_
 
 def year_other(estate: Estate, store: StatStore, as_of: datetime, refresh_open: bool = False) -> Run:
     devices = eligible_devices(estate.device, types=OTHER_UTILITIES, exclude_factories=())
-    years = statistics.period_other(_of_devices(store.read("monthly"), devices), estate.key_dictionary, "year")
+    store = store.owned_by("other")
+    monthly = _of_devices(_open_periods(store, "monthly", "yearly", devices, _rolled_keys(estate)), devices)
+    years = statistics.period_other(monthly, estate.key_dictionary, "year")
     facts = incremental.beyond_high_water(years, store.read("yearly"), "year", refresh_open)
     return _run("year_other", store, "yearly", facts, ["long_stats", "dbl_stats", "kgco2e"], None, None)
 

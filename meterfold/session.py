@@ -69,6 +69,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own below the shared one."""
+    if "/meterfold/" not in path:
+        raise ValueError(f"not a temporary folder: {path}")
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder is there, asked of the file system the path belongs to."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 
 from meterfold.operators import incremental
 from meterfold.operators.incremental import SERIES_KEY, run_metrics
+from meterfold.operators.quality import assert_unique_key
 from meterfold.operators.statistics import FACT_KEY
-from meterfold.session import materialise, path_exists, read_or_empty
+from meterfold.session import discard, fresh_path, materialise, path_exists, read_or_empty
 from meterfold.sources import schemas
 
-PERIOD = "period"
+PERIOD, OWNER = "period", "owner"
 
 # Schema, key and partitioning of each table. Minute and hour facts are kept per day, so that
 # redoing the open bucket rewrites a day; watermarks are kept per device type.
@@ -27,22 +28,38 @@ TABLES = {
     "minute_latest": (schemas.LATEST, SERIES_KEY, None),
     "hour_latest": (schemas.LATEST, SERIES_KEY, None),
     "day_latest": (schemas.LATEST, SERIES_KEY, None),
+    "tou_latest": (schemas.LATEST, SERIES_KEY, None),
+    "minute_searched": (schemas.LATEST, SERIES_KEY, None),
+    "hour_searched": (schemas.LATEST, SERIES_KEY, None),
+    "day_searched": (schemas.LATEST, SERIES_KEY, None),
 }
 
+# Up to where telemetry was searched for series that have no watermark yet.
+SEARCHED = {"minute_latest": "minute_searched", "hour_latest": "hour_searched", "day_latest": "day_searched"}
+
 _STRFTIME = {"yyyy-MM-dd": "%Y-%m-%d", "yyyy-MM": "%Y-%m", "yyyy": "%Y"}
 
 
 class StatStore:
-    """The statistic tables below one folder."""
+    """The statistic tables below one folder.
+
+    Rows are kept in partitions by their owner, the job that writes them, and by period. A job
+    merges into its own partitions only, so jobs that share a table may run at the same time; the
+    same job must not run twice at once, nor jobs of one owner (profile, consumption and shares of
+    the day, which work on the same rows). Readers see all owners.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, owner: str = "shared"):
+        self.spark, self.root, self.owner = spark, root.rstrip("/"), owner
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def owned_by(self, owner: str) -> StatStore:
+        return StatStore(self.spark, self.root, owner)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def _read(self, table: str) -> DataFrame:
-        schema = T.StructType([*TABLES[table][0].fields, T.StructField(PERIOD, T.StringType())])
+        schema = T.StructType([*TABLES[table][0].fields, *[T.StructField(c, T.StringType()) for c in (OWNER, PERIOD)]])
         return read_or_empty(self.spark, self.path(table), schema)
 
     def read(self, table: str, since: datetime | None = None, before: datetime | None = None) -> DataFrame:
@@ -53,33 +70,37 @@ class StatStore:
             stored = stored.filter(F.col(PERIOD) >= since.strftime(pattern))
         if before is not None:
             stored = stored.filter(F.col(PERIOD) < before.strftime(pattern))
-        return stored.drop(PERIOD)
+        return stored.drop(OWNER, PERIOD)
 
     def _shaped(self, table: str, rows: DataFrame) -> DataFrame:
         """The columns ``rows`` bring, in the table's types, with their partition."""
         schema, _, pattern = TABLES[table]
         period = F.col("device_type") if pattern is None else F.date_format("stat_time", pattern)
         present = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in rows.columns]
-        return rows.select(*present).withColumn(PERIOD, period)
+        return rows.select(*present).withColumns({OWNER: F.lit(self.owner), PERIOD: period})
 
     def _stage(self, table: str, rows: DataFrame) -> tuple[DataFrame, dict]:
         """Compute ``rows`` once; all that follows reads the written copy."""
         shaped = self._shaped(table, rows)
-        if "stat_time" not in shaped.columns:
-            return materialise(shaped, f"rows-{table}"), {}
-        observed, metrics = run_metrics(shaped, f"run-{table}")
-        return materialise(observed, f"rows-{table}"), metrics.get
+        metrics = None
+        if "stat_time" in shaped.columns:
+            shaped, metrics = run_metrics(shaped, f"run-{table}")
+        staged = materialise(shaped, f"rows-{table}")
+        # a key twice among the new rows would multiply in every later merge
+        assert_unique_key(staged, TABLES[table][1])
+        return staged, metrics.get if metrics is not None else {}
 
     def _completed(self, table: str, rows: DataFrame) -> DataFrame:
         """All columns of the table; those ``rows`` lack are NULL."""
         schema = TABLES[table][0]
         columns = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-        return rows.select(*columns, PERIOD)
+        return rows.select(*columns, OWNER, PERIOD)
 
-    def _touched(self, table: str, staged: DataFrame) -> DataFrame:
-        """The stored rows in the partitions of ``staged``: a list the calendar bounds."""
+    def _touched(self, table: str, staged: DataFrame, owned: bool = True) -> DataFrame:
+        """The stored rows in the periods of ``staged``, a list the calendar bounds; the owner's or everybody's."""
         periods = [row[PERIOD] for row in staged.select(PERIOD).distinct().collect()]
-        return self._read(table).filter(F.col(PERIOD).isin(periods))
+        stored = self._read(table).filter(F.col(PERIOD).isin(periods))
+        return stored.filter(F.col(OWNER) == self.owner) if owned else stored
 
     def _replace(self, table: str, merged: DataFrame) -> None:
         """Swap the partitions of ``merged`` in.
@@ -87,8 +108,10 @@ class StatStore:
         The merge reads what it replaces, so it is written aside first: should the driver die
         during the swap, the complete partitions are still in the shared folder.
         """
-        aside = materialise(merged, f"merged-{table}")
-        self._write(table, aside, "overwrite")
+        path = fresh_path(self.spark, f"merged-{table}")
+        merged.write.parquet(path)
+        self._write(table, self.spark.read.schema(merged.schema).parquet(path), "overwrite")
+        discard(self.spark, path)
 
     def _write(self, table: str, rows: DataFrame, mode: str) -> None:
         (
@@ -96,7 +119,7 @@ class StatStore:
             .sortWithinPartitions(PERIOD, *[k for k in TABLES[table][1] if k != "device_type"])
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PERIOD)
+            .partitionBy(OWNER, PERIOD)
             .parquet(self.path(table))
         )
 
@@ -118,9 +141,9 @@ class StatStore:
         return staged, metrics
 
     def insert_only(self, table: str, rows: DataFrame) -> tuple[DataFrame, dict]:
-        """Append; a key already stored is an error and nothing is written."""
+        """Append; a key already stored, by whichever owner, is an error and nothing is written."""
         staged, metrics = self._stage(table, rows)
-        incremental.insert_only(self._touched(table, staged), staged, TABLES[table][1])
+        incremental.insert_only(self._touched(table, staged, owned=False), staged, TABLES[table][1])
         self._write(table, self._completed(table, staged), "append")
         return staged, metrics
 

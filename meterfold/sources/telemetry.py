@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterfold.functions.timebucket import epoch_ms, epoch_ms_to_ts, timestamp_literal
+from meterfold.functions.timebucket import epoch_ms_to_ts, instant_ms, timestamp_literal
 
 # Device types by utility (electricity; water, air, gas, steam).
 ELECTRICITY = ("E",)
@@ -34,15 +34,16 @@ def telemetry_values(
 ) -> DataFrame:
     """Stored telemetry as readings ``entity_id, key_id, ts_ms, ts, value``.
 
-    The bounds are compared with the stored epoch column, so they reach the file scan; with
-    ``date_column``, the date the files are partitioned by, they prune whole folders.
+    The bounds are wall-clock times of the session's zone. They are compared with the stored epoch
+    column, so they reach the file scan; with ``date_column``, the local date the files are
+    partitioned by, they prune whole folders.
     """
     if start is not None:
-        ts_kv = ts_kv.filter(F.col("ts") >= epoch_ms(start))
+        ts_kv = ts_kv.filter(F.col("ts") >= instant_ms(start))
         if date_column:
             ts_kv = ts_kv.filter(F.col(date_column) >= F.lit(start.date()))
     if end is not None:
-        ts_kv = ts_kv.filter(F.col("ts") < epoch_ms(end))
+        ts_kv = ts_kv.filter(F.col("ts") < instant_ms(end))
         if date_column:
             ts_kv = ts_kv.filter(F.col(date_column) <= F.lit(end.date()))
     return ts_kv.select(
@@ -126,7 +127,7 @@ def retain_recent(df: DataFrame, as_of: datetime, keep: timedelta = HOT_RETENTIO
     """Drop telemetry older than the retention; ``ts`` may be epoch milliseconds or a timestamp."""
     horizon = as_of - keep
     if dict(df.dtypes)[ts] in ("bigint", "int"):
-        return df.filter(F.col(ts) >= epoch_ms(horizon))
+        return df.filter(F.col(ts) >= instant_ms(horizon))
     return df.filter(F.col(ts) >= timestamp_literal(horizon))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from meterfold.functions.timebucket import DAY_START, grain_name, stat_type
+from meterfold.functions.timebucket import DAY_START, grain_name, instant_wall_clock, stat_type, wall_clock_instant
 from meterfold.operators.series import Series
 from meterfold.sources.store import StatStore
 
@@ -27,7 +27,7 @@ def stream_bucket_stats(
     """
     lengths = {"minute": "1 minute", "hour": "1 hour", "day": "1 day"}
     shift = day_start if grain_name(grain) == "day" and day_start is not None else timedelta(0)
-    event_time = F.col(s.ts).cast("timestamp")
+    event_time = wall_clock_instant(F.col(s.ts))
     buckets = F.window("_at", lengths[grain_name(grain)], startTime=f"{int(shift.total_seconds())} seconds")
     return (
         readings.withColumn("_at", event_time)
@@ -39,7 +39,7 @@ def stream_bucket_stats(
             F.max(s.value).alias("dbl_max"),
             F.count(F.lit(1)).alias("readings"),
         )
-        .withColumn("stat_time", F.col("_window.start").cast("timestamp_ntz") - F.lit(shift))
+        .withColumn("stat_time", instant_wall_clock(F.col("_window.start")) - F.lit(shift))
         .drop("_window")
     )
 

@@ -60,8 +60,8 @@ def test_advance_and_rewind(frame):
     assert got[1] == (datetime(2024, 1, 2, 11, 59, 59), 1704196799000)
     assert got[2][0] == datetime(2024, 1, 1, 0, 59, 59)
     late = frame([("x", "E", 1, "2023-12-31 05:00:00"), ("x", "E", 2, "2024-03-01")], "device_id string, device_type string, key_id int, ts timestamp_ntz")
-    back = {r["key_id"]: r["latest_stat_time"] for r in inc.rewind_watermark(marks, late).collect()}
-    assert back == {1: datetime(2023, 12, 31, 5), 2: datetime(2024, 1, 1, 0, 59, 59)}
+    back = {r["key_id"]: r["latest_stat_time"] for r in inc.rewind_watermark(marks, late, "hour").collect()}
+    assert back == {1: datetime(2023, 12, 31, 5, 59, 59), 2: datetime(2024, 1, 1, 0, 59, 59)}
 
 
 def test_high_water_is_kept_per_key(frame):
