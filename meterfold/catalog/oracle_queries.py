@@ -53,12 +53,12 @@ def _since(grain: str, facts: str = "c") -> str:
     return f"({facts}.device_id % 7 = 0 OR {facts}.stat_time >= (SELECT date_trunc('{grain}', l.day) FROM latest_day l WHERE l.device_id = {facts}.device_id))"
 
 
-def _rollup_check(label: str, coarse: str, fine: str) -> str:
+def _rollup_check(label: str, coarse: str, fine: str, source: str = "counter") -> str:
     return f"""SELECT '{label}' AS stat_type, CASE WHEN count(*) FILTER (WHERE w.energy_consumption <> n.fine_sum) > 0
             THEN 'NG' ELSE 'OK' END AS check_result
-        FROM ({_min_consumption(coarse)}) w
+        FROM ({_min_consumption(coarse, source)}) w
         JOIN (SELECT entity_id, key_id, date_trunc('{coarse}', bucket) AS bucket, sum(energy_consumption) AS fine_sum
-              FROM ({_min_consumption(fine)}) f GROUP BY ALL) n USING (entity_id, key_id, bucket)"""
+              FROM ({_min_consumption(fine, source)}) f GROUP BY ALL) n USING (entity_id, key_id, bucket)"""
 
 
 def _codes() -> str:
@@ -75,6 +75,35 @@ _FLOWS = """SELECT e.device_type, e.device_id, r.key_id, date_trunc('hour', r.ts
     WHERE e.device_type <> 'E' GROUP BY ALL"""
 
 
+def _rewound(bucket: str, offset: str) -> str:
+    """Watermarks set back to the own mark of the bucket of the oldest late reading."""
+    mark = f"least(l.day + {offset}, r.late + {offset})"
+    return sql(
+        f"""SELECT l.device_id, l.device_type, CAST(142 AS BIGINT) AS key_id, CAST({mark} AS TIMESTAMP) AS latest_stat_time,
+        epoch_us({mark}) // 1000 AS latest_epoch
+        FROM latest_day l LEFT JOIN (SELECT d.device_id, min(CAST({bucket} AS TIMESTAMP)) AS late
+            FROM readings x JOIN device d USING (entity_id) WHERE x.key_id = 596 GROUP BY ALL) r USING (device_id)"""
+    )
+
+
+NO_TOU = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in TOU)
+_DAY = "CAST(date_trunc('day', stat_time - INTERVAL '8' HOUR) AS TIMESTAMP)"
+
+
+def _share(column: str, *periods: str) -> str:
+    listed = ", ".join(f"'{p}'" for p in periods)
+    return f"CAST(sum({column}) FILTER (WHERE period_type IN ({listed})) AS DOUBLE)"
+
+
+def _rates(bucket: str) -> str:
+    """Average counter value of the other utilities under their rate keys."""
+    return f"""SELECT e.device_type, e.device_id, CAST(c.key_id AS BIGINT) AS key_id, CAST({bucket} AS TIMESTAMP) AS stat_time,
+        avg(c.value_c) AS dbl_stats
+        FROM counter c JOIN eligible e USING (entity_id)
+        JOIN key_config k ON k.device_type = e.device_type AND k.rate_key_id = c.key_id
+        WHERE e.device_type <> 'E' GROUP BY ALL"""
+
+
 def _measured(bucket: str, code: int) -> str:
     return f"""SELECT d.device_type, d.device_id, CAST(r.key_id AS BIGINT) AS key_id, {bucket} AS stat_time,
         avg(r.value_c) AS dbl_stats, CAST(min(r.value_c) AS DOUBLE) AS dbl_min, CAST(max(r.value_c) AS DOUBLE) AS dbl_max,
@@ -167,6 +196,12 @@ ORACLES: dict[str, str] = {
         JOIN key_config k ON k.accumulation_key_id = c.key_id
         WHERE c.bucket >= TIMESTAMP '2024-01-05 06:30:00' AND c.bucket < TIMESTAMP '2024-01-20 12:00:00'"""
     ),
+    "c3_shared_key": sql(
+        f"""SELECT c.entity_id, d.device_type, c.bucket AS period_start, coalesce(nxt, v1) - v0 AS consumption, k.consumption_key_id
+        FROM ({_first_consumption("CAST(date_trunc('day', ts - INTERVAL '8' HOUR) AS TIMESTAMP)")}) c
+        JOIN device d USING (entity_id) JOIN key_config k ON k.device_type = d.device_type
+        WHERE c.key_id = 142 AND d.device_type IN ('E', 'W')"""
+    ),
     "c4_daily": sql(
         f"""SELECT entity_id, key_id, bucket AS result_day, v0 AS energy_start, coalesce(nxt, v1) AS energy_end,
         coalesce(nxt, v1) - v0 AS daily_energy FROM ({_first_consumption("CAST(ts AS DATE)")}) c
@@ -326,6 +361,72 @@ ORACLES: dict[str, str] = {
         CAST(sum(kgco2e) AS DOUBLE) AS kgco2e
         FROM minutely_other GROUP BY ALL"""
     ),
+    "f14_minute_runs": sql(
+        f"""SELECT s.device_type, s.device_id, CAST(554 AS BIGINT) AS key_id, s.stat_time, CAST(1 AS BIGINT) AS stat_type,
+        CAST(s.delta AS DOUBLE) AS dbl_stats, CAST(s.delta * m.float_value AS DOUBLE) AS kgco2e
+        FROM (SELECT e.device_type, e.device_id, e.factory_id, date_trunc('minute', d.ts) AS stat_time, sum(d.delta) AS delta
+              FROM ({_delta('counter')}) d JOIN eligible e ON e.entity_id = d.entity_id AND e.device_type = 'E'
+              WHERE d.pos > 1 AND d.key_id = 142 GROUP BY ALL) s
+        JOIN (SELECT DISTINCT factory_id, float_value FROM param WHERE param_name = 'power_coeff') m USING (factory_id)
+        UNION ALL
+        SELECT {KEYED}, CAST(1 AS BIGINT), CAST(dbl_stats AS DOUBLE), CAST(kgco2e AS DOUBLE) FROM minutely_other"""
+    ),
+    "f14_hour_runs": sql(
+        f"""SELECT {KEYED}, CAST(2 AS BIGINT) AS stat_type, CAST(dbl_stats AS DOUBLE) AS dbl_stats, CAST(NULL AS DOUBLE) AS dbl_avg,
+        CAST(NULL AS DOUBLE) AS dbl_min, CAST(NULL AS DOUBLE) AS dbl_max, CAST(charge AS DOUBLE) AS charge, period_type,
+        CAST(kgco2e AS DOUBLE) AS kgco2e FROM hourly_electric
+        UNION ALL
+        SELECT device_type, device_id, CAST(key_id AS BIGINT), date_trunc('hour', stat_time), CAST(2 AS BIGINT),
+        CAST(sum(dbl_stats) AS DOUBLE), avg(dbl_stats), CAST(min(dbl_stats) AS DOUBLE), CAST(max(dbl_stats) AS DOUBLE), NULL, NULL,
+        CAST(sum(kgco2e) AS DOUBLE) FROM minutely_other GROUP BY ALL
+        UNION ALL
+        SELECT device_type, device_id, key_id, stat_time, CAST(2 AS BIGINT), dbl_stats, NULL, NULL, NULL, NULL, NULL, NULL
+        FROM ({_rates("date_trunc('hour', c.ts)")}) r""",
+        labelled="fleet_clock",
+    ),
+    "f14_day_runs": sql(
+        f"""SELECT p.device_type, p.device_id, CAST(p.key_id AS BIGINT) AS key_id, p.stat_time, CAST(3 AS BIGINT) AS stat_type,
+        CAST(f.consumption AS DOUBLE) AS dbl_stats, p.dbl_avg, p.dbl_min, p.dbl_max, {', '.join('t.' + c for c in TOU)},
+        CAST(f.consumption * m.float_value AS DOUBLE) AS kgco2e
+        FROM (SELECT device_type, device_id, key_id, {_DAY} AS stat_time, avg(dbl_stats) AS dbl_avg,
+                CAST(min(dbl_stats) AS DOUBLE) AS dbl_min, CAST(max(dbl_stats) AS DOUBLE) AS dbl_max FROM hourly GROUP BY ALL) p
+        LEFT JOIN fleet_day f ON f.device_id = p.device_id AND f.key_id = p.key_id AND f.stat_time = p.stat_time
+        LEFT JOIN param m ON m.factory_id = f.factory_id AND m.device_type = f.device_type
+        LEFT JOIN (SELECT device_id, {_DAY} AS stat_time, {_share('dbl_stats', 'PE')} AS peak_energy,
+                {_share('dbl_stats', 'PP', 'SPP')} AS partial_peak_energy, {_share('dbl_stats', 'OP')} AS off_peak_energy,
+                CAST(sum(charge) AS DOUBLE) AS charge, {_share('charge', 'PE')} AS peak_charge,
+                {_share('charge', 'PP', 'SPP')} AS partial_peak_charge, {_share('charge', 'OP')} AS off_peak_charge
+              FROM hourly_electric GROUP BY ALL) t
+            ON p.device_type = 'E' AND t.device_id = p.device_id AND t.stat_time = p.stat_time
+        UNION ALL
+        SELECT e.device_type, e.device_id, CAST(a.avg_key_id AS BIGINT),
+        CAST(date_trunc('day', c.ts - INTERVAL '8' HOUR) AS TIMESTAMP), CAST(3 AS BIGINT), avg(c.value_c), NULL,
+        CAST(min(c.value_c) AS DOUBLE), CAST(max(c.value_c) AS DOUBLE), {NO_TOU}, NULL
+        FROM counter c JOIN eligible e USING (entity_id) JOIN avg_key_config a ON a.rate_key_id = c.key_id GROUP BY ALL
+        UNION ALL
+        SELECT device_type, device_id, key_id, stat_time, CAST(3 AS BIGINT), dbl_stats, NULL, NULL, NULL, {NO_TOU}, NULL
+        FROM ({_rates("date_trunc('day', c.ts)")}) r""",
+        labelled="fleet_clock",
+    ),
+    "f14_month_runs": sql(
+        f"""SELECT {KEYED}, {_thousandths('dbl_stats')}, {', '.join(TOU)}, kgco2e
+        FROM month_electricity JOIN eligible USING (device_id, device_type)
+        UNION ALL
+        SELECT {KEYED}, {_thousandths('dbl_stats')}, {', '.join('NULL' for _ in TOU)}, kgco2e
+        FROM month_other JOIN device USING (device_id, device_type) WHERE entity_id IS NOT NULL"""
+    ),
+    "f14_year_runs": sql(
+        f"""SELECT {KEYED}, {_thousandths('dbl_stats')}, {', '.join(TOU)}, kgco2e
+        FROM ({_period('month_electricity', 'year', 'e')}) y JOIN eligible USING (device_id, device_type)
+        UNION ALL
+        SELECT {KEYED}, {_thousandths('dbl_stats')}, {', '.join('NULL' for _ in TOU)}, kgco2e
+        FROM ({_period('month_other', 'year', 'o')}) y JOIN device USING (device_id, device_type) WHERE entity_id IS NOT NULL"""
+    ),
+    "g3_repeated_runs": sql(
+        f"""SELECT {KEYED}, CAST(dbl_stats AS DOUBLE) AS dbl_stats, CAST(charge AS DOUBLE) AS charge, period_type,
+        CAST(kgco2e AS DOUBLE) AS kgco2e FROM hourly_electric""",
+        labelled="fleet_clock",
+    ),
     "g1_since_watermark": sql(
         """SELECT r.event_id, d.device_id, r.key_id, r.ts
         FROM readings r JOIN device d USING (entity_id) LEFT JOIN latest_day l ON l.device_id = d.device_id AND r.key_id = 142
@@ -353,6 +454,7 @@ ORACLES: dict[str, str] = {
         max(date_trunc('month', stat_time)) + INTERVAL '1' MONTH - INTERVAL '1' SECOND AS high_water FROM daily GROUP BY ALL"""
     ),
     "h1_verify": sql(" UNION ".join(_rollup_check(*check) for check in ROLLUP_CHECKS)),
+    "h1_verify_resets": sql(" UNION ".join(_rollup_check(*check, "readings_reset") for check in ROLLUP_CHECKS)),
     "h1_mismatches": sql(
         f"""SELECT w.entity_id, w.key_id, CAST(w.bucket AS TIMESTAMP) AS bucket, w.energy_consumption AS consumption,
         CAST(n.fine_sum AS BIGINT) AS fine_sum, w.energy_consumption = n.fine_sum AS matches
@@ -378,13 +480,10 @@ ORACLES: dict[str, str] = {
     "h5_drop_column": sql(
         "SELECT * EXCLUDE (entity_id) REPLACE (CAST(key_id AS BIGINT) AS key_id) FROM daily"
     ),
-    "i3_rewind": sql(
-        """SELECT l.device_id, l.device_type, CAST(142 AS BIGINT) AS key_id,
-        least(l.day + INTERVAL '57' SECOND, r.late) AS latest_stat_time,
-        epoch_us(least(l.day + INTERVAL '57' SECOND, r.late)) // 1000 AS latest_epoch
-        FROM latest_day l LEFT JOIN (SELECT d.device_id, min(x.ts) AS late FROM readings x JOIN device d USING (entity_id)
-            WHERE x.key_id = 596 GROUP BY ALL) r USING (device_id)"""
-    ),
+    "i3_rewind": _rewound("date_trunc('minute', x.ts)", "INTERVAL '57' SECOND"),
+    "i3_rewind_hour": _rewound("date_trunc('hour', x.ts)", "INTERVAL '3599' SECOND"),
+    "i3_rewind_day": _rewound("date_trunc('day', x.ts - INTERVAL '8' HOUR)", PRODUCTION_DAY),
+    "i3_rewind_calendar_day": _rewound("date_trunc('day', x.ts)", "INTERVAL '3599' SECOND"),
     "a10_write_stat": sql(
         f"""SELECT device_type, device_id, CAST(key_id AS BIGINT) AS key_id, stat_time, dbl_stats,
         CAST(NULL AS DOUBLE) AS dbl_min, CAST(NULL AS DOUBLE) AS dbl_max, CAST(2 AS BIGINT) AS stat_type
