@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from meterfold.session import materialise
 
 SLICE_ROWS = 1_000
+BATCH_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,18 @@ def words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of at most ``BATCH_ROWS`` rows in its session from now on.
+
+    Spark's default of 10,000 rows is made for numbers: of whole texts a batch would be tens of
+    megabytes, several times over in the JVM and in each Python worker.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """Each text as UTF-8; an absent one is empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
@@ -76,7 +89,7 @@ def map_batches(df: DataFrame, step: Callable[[pa.Table], pa.Table], schema: str
         for batch in slices(batches):
             yield from step(pa.Table.from_batches([batch])).to_batches()
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
 
 
 def components_of(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:

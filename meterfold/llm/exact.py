@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from meterfold.llm.common import binary, mixed
+from meterfold.llm.common import binary, mixed, small_batches
 from meterfold.session import materialise
 
 DIGEST = 32
@@ -199,7 +199,7 @@ def deduplicate(docs: DataFrame, history: Column | None = None, part_digests: in
     once however often it occurs; the last join has the rows on its streamed side, where AQE
     splits a digest with very many of them.
     """
-    digests = materialise(docs.select("doc_id", text_digest(F.col("text")).alias("digest")), "exact-digests")
+    digests = materialise(small_batches(docs).select("doc_id", text_digest(F.col("text")).alias("digest")), "exact-digests")
     if history is None:
         middle = digests.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
         history = F.col("doc_id") <= F.lit(middle)

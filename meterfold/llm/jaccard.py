@@ -27,15 +27,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterfold.llm.common import binary, components_of, connected_components, ngram_hashes, text_bytes, word_hashes, words
+from meterfold.llm.common import (
+    binary,
+    components_of,
+    connected_components,
+    ngram_hashes,
+    small_batches,
+    text_bytes,
+    word_hashes,
+    words,
+)
 from meterfold.session import materialise
 
 SHINGLE = 5
 LEAST_PERCENT = 80
 
 # Documents packed together, text bytes behind one block of columns, shingles in one block of rows.
-BATCH_DOCS = 2_000
-BLOCK_BYTES = 16 << 20
+BATCH_DOCS = 1_000
+BLOCK_BYTES = 8 << 20
 BLOCK_SHINGLES = 1 << 21
 BLOCK_DOCS = 768
 PRODUCT_COLUMNS = 4_096
@@ -171,7 +180,7 @@ def shingle_counts(docs: DataFrame, n: int = SHINGLE, percent: int = LEAST_PERCE
         parts = [shingle_set(t, n) for t in text_bytes(batch.column("text"))]
         return _ids(batch.column("doc_id")), np.array([len(p) for p in parts], dtype=np.int64), parts
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return _counted(_pack(rows, sets, max(1, -(-size // BLOCK_BYTES))), percent, rare_first=False)
 

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterfold.llm.common import slices
+from meterfold.llm.common import slices, small_batches
 from meterfold.llm.tokens import VOCABULARY, encoded
 from meterfold.session import materialise
 
@@ -49,7 +49,7 @@ def cut_documents(docs: DataFrame, capacity: int = SEQUENCE, vocabulary: str = V
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    chosen = small_batches(docs).select("doc_id", F.col("text").cast("string").alias("text"))
     return chosen.mapInArrow(cut, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 

@@ -14,19 +14,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from meterfold.llm.common import or_empty
+from meterfold.llm.common import or_empty, small_batches
 
 _WORD = re.compile(r"[^\W\d_]+")
 _PREFIXES = (4, 5, 6)
-_MEMO_WORDS = 300_000
+_MEMO_WORDS = 150_000
 
 
 @dataclass(frozen=True)
 class Settings:
     """Training parameters; the two sample sizes bound what reaches the driver."""
 
-    max_toxic: int = 5_000
-    max_unlabelled: int = 10_000
+    max_toxic: int = 3_000
+    max_unlabelled: int = 6_000
     least_evidence: float = 8.0
     models: int = 3
     steps: int = 400
@@ -195,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Toxicit
         .agg(F.max("toxic").alias("toxic"))
     )
     share = open_labels.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
-    texts = docs.select("doc_id", or_empty(F.col("text")).alias("text")).filter("doc_id is not null")
+    texts = small_batches(docs).select("doc_id", or_empty(F.col("text")).alias("text")).filter("doc_id is not null")
 
     def sample(ids: DataFrame, size: int) -> list[np.ndarray]:
         # ids are chosen before texts are read: at most `size` of them, so they may be broadcast
