@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterfold.llm.common import map_batches, slices
+from meterfold.llm.common import map_batches, slices, small_batches
 from meterfold.session import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,7 +24,21 @@ ID = "<u4"
 
 # Texts are encoded in groups of about this many characters; the memo holds so many chunks.
 GROUP_CHARS = 2_000_000
-MEMO_CHUNKS = 500_000
+MEMO_CHUNKS = 400_000
+
+
+# Marks that are encoded apart from a word in front, and spacing other than single spaces.
+_MARKS = ".,;:!?%&*#$|)"
+_SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f "
+_ODD_ASCII = sorted({pair for c in _SPACES for pair in (f" {c}", f"{c} ")})
+_ODD = re.compile(r" \s|\s ")
+
+
+def _oddly_spaced(text: str) -> bool:
+    """Whether a piece between single spaces is empty or has white space at an end."""
+    if not text or text[0].isspace() or text[-1].isspace() or any(pair in text for pair in _ODD_ASCII):
+        return True
+    return not text.isascii() and _ODD.search(text) is not None
 
 
 class ChunkEncoder:
@@ -53,7 +68,7 @@ class ChunkEncoder:
     def chunks(text: str) -> list[str]:
         """Keys of the text's chunks; that of the first chunk, before which no space is, starts with a line feed."""
         parts = text.split(" ")
-        if any(not p or p[0].isspace() or p[-1].isspace() for p in set(parts)):
+        if _oddly_spaced(text):
             whole = [parts[0]]
             for part in parts[1:]:
                 last = whole[-1]
@@ -65,15 +80,35 @@ class ChunkEncoder:
         parts[0] = "\n" + parts[0]
         return parts
 
-    def _learn(self, missing: list[str]) -> None:
-        """Encode the chunks in one go, each after its space; first chunks and odd ones alone."""
-        joined = [m for m in missing if m[0] != "\n"]
+    def _learn(self, missing: Iterable[str]) -> None:
+        """Encode the chunks in one go, each after its space; first chunks and odd ones alone.
+
+        Punctuation after a letter is a token of its own whatever stands before, so a word and
+        the marks behind it are learned apart.
+        """
+        memo, joined, marked = self.memo, [], []
         for m in missing:
             if m[0] == "\n":
-                self.memo[m] = self._encode(m[1:])
-        if not joined:
+                memo[m] = self._encode(m[1:])
+                continue
+            word = m.rstrip(_MARKS)
+            if len(word) < len(m) and word and word[-1].isalpha() and word[-1] < "\u0250":
+                marks = "\n" + m[len(word) :]
+                if marks not in memo:
+                    memo[marks] = self._encode(marks[1:])
+                marked.append((m, word, marks))
+                m = word
+                if m in memo:
+                    continue
+            joined.append(m)
+        self._encode_together(list(dict.fromkeys(joined)))
+        for m, word, marks in marked:
+            memo[m] = memo[word] + memo[marks]
+
+    def _encode_together(self, chunks: list[str]) -> None:
+        if not chunks:
             return
-        pieces = [f" {m}" for m in joined]
+        pieces = [f" {m}" for m in chunks]
         # the fast form leaves out the offsets, which are not needed
         [whole] = self.tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)
         ids = np.array(whole.ids, dtype=ID)
@@ -81,11 +116,11 @@ class ChunkEncoder:
         ends = np.cumsum([len(p.encode()) for p in pieces])
         cuts = np.searchsorted(reached, ends)
         if len(reached) == 0 or reached[-1] != ends[-1] or not np.array_equal(reached[cuts], ends):
-            for m, p in zip(joined, pieces):
+            for m, p in zip(chunks, pieces):
                 self.memo[m] = self._encode(p)
             return
         raw, start = ids.tobytes(), 0
-        for m, cut in zip(joined, (cuts + 1) * 4):
+        for m, cut in zip(chunks, ((cuts + 1) * 4).tolist()):
             self.memo[m] = raw[start:cut]
             start = cut
 
@@ -106,10 +141,11 @@ class ChunkEncoder:
         if len(self.memo) > MEMO_CHUNKS:
             self.memo.clear()
         split = [self.chunks(t) if t else [] for t in texts]
-        missing = set().union(*split).difference(self.memo)
+        memo = self.memo
+        missing = [part for parts in split for part in parts if part not in memo]
         if missing:
-            self._learn(list(missing))
-        get = self.memo.__getitem__
+            self._learn(dict.fromkeys(missing))
+        get = memo.__getitem__
         return [b"".join(map(get, parts)) for parts in split]
 
 
@@ -126,7 +162,7 @@ def encoded(texts: list[str | None], vocabulary: str = VOCABULARY) -> list[bytes
 
 def _in_order(docs: DataFrame) -> DataFrame:
     """Rows in ranges of ``doc_id``, sorted inside; rows of one id are ordered by a hash of their text."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("tie", F.xxhash64("text"))
+    rows = small_batches(docs).select("doc_id", F.col("text").cast("string").alias("text")).withColumn("tie", F.xxhash64("text"))
     return rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
 
 
