@@ -28,13 +28,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterfold.llm.common import small_batches
+
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SAMPLES = 3
 # Exponent of the piece probabilities: 1 samples from the model, less spreads the choice.
 SHARPNESS = 0.5
 SEED = 5
 # Characters whose lattices are built together, and the slots of the piece table.
-GROUP_CHARS = 300_000
+GROUP_CHARS = 1_000_000
 _SLOT_BITS = 20
 
 
@@ -109,27 +111,49 @@ class Vocabulary:
         return piece, there
 
 
+def _distinct_stretches(char: np.ndarray, starts: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One stretch of each kind, and for every stretch the place of its kind among those."""
+    if not len(starts):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    place = np.arange(len(char)) - np.repeat(starts, length)
+    power = np.cumprod(np.full(int(length.max()), 0x9E3779B97F4A7C15, dtype=np.uint64))
+    code = np.add.reduceat((char.astype(np.uint64) + np.uint64(1)) * power[place], starts)
+    _, one, which = np.unique(code, return_index=True, return_inverse=True)
+    same = length[one[which]] == length
+    if same.all() and (char[np.repeat(starts[one[which]], length) + place] == char).all():
+        return one, which
+    return np.arange(len(starts)), np.arange(len(starts))
+
+
 class Lattices:
     """The lattices of some texts: one node per character, one column per length of a piece.
 
-    ``share[i, l - 1]`` is the chance that a path drawn from the model, once at character ``i``,
-    goes on with the piece of ``l`` characters from there, which is ``piece[i, l - 1]``. Numbers
-    from ``vocabulary.size`` on stand for a character that no piece spells, in bytes.
+    Stretches that occur several times in the texts have one lattice: ``starts`` leads from each
+    stretch, in text order, to its first node, and ``bounds`` from a text to its stretches.
+    ``share[i, l - 1]`` is the chance that a path drawn from the model, once at node ``i``, goes
+    on with the piece of ``l`` characters from there, which is ``piece[i, l - 1]``. Numbers from
+    ``vocabulary.size`` on stand for a character that no piece spells, in bytes.
     """
 
     def __init__(self, vocabulary: Vocabulary, texts: list[str]):
         self.vocabulary = v = vocabulary
         raw = [v.processor.normalize(t) if t else "" for t in texts]
-        self.char = np.frombuffer("".join(raw).encode("utf-32-le"), "<u4")
-        self.bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-        n, mark = len(self.char), self.char == 0x2581
+        char = np.frombuffer("".join(raw).encode("utf-32-le"), "<u4")
+        edges = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+        n, mark = len(char), char == 0x2581
         begins = mark & ~np.concatenate([[False], mark[:-1]])
-        begins[self.bounds[:-1][self.bounds[:-1] < n]] = True
-        self.starts = np.nonzero(begins)[0]
-        ends = np.append(self.starts[1:], n)[: len(self.starts)]
-        self.end = np.repeat(ends, ends - self.starts)
-        self._find_pieces(n)
-        self._spread(n, ends)
+        begins[edges[:-1][edges[:-1] < n]] = True
+        starts = np.nonzero(begins)[0]
+        length = np.diff(np.append(starts, n))
+        self.bounds = np.searchsorted(starts, edges)
+        one, which = _distinct_stretches(char, starts, length)
+        size = length[one]
+        base = np.cumsum(size) - size
+        self.starts = base[which]
+        self.char = char[np.repeat(starts[one] - base, size) + np.arange(int(size.sum()))]
+        self.end = np.repeat(base + size, size)
+        self._find_pieces(len(self.char))
+        self._spread(len(self.char), base, base + size)
 
     def _find_pieces(self, n: int) -> None:
         v = self.vocabulary
@@ -150,22 +174,24 @@ class Lattices:
         width = _utf8_width(char)
         self.piece[bare, 0] = v.size + char
         self.share[bare, 0] = np.exp(np.maximum(v.least * width + v.lift, -600))
+        used = int(np.nonzero(self.share.any(axis=0))[0].max(initial=0)) + 1
+        self.piece, self.share = np.ascontiguousarray(self.piece[:, :used]), np.ascontiguousarray(self.share[:, :used])
 
-    def _spread(self, n: int, ends: np.ndarray) -> None:
+    def _spread(self, n: int, starts: np.ndarray, ends: np.ndarray) -> None:
         """From weights to conditional probabilities: the mass of all paths from a node to the end of its stretch.
 
         All stretches advance together, from their last character to their first. Only ratios
         within a piece's reach count, so the masses ahead are scaled where they leave the range.
         """
-        reach = self.vocabulary.longest
+        reach = self.share.shape[1]
         # spare places behind each stretch, the first of which holds the mass 1 of its end, so stretches cannot touch
         mass = np.zeros(n + (len(ends) + 1) * reach)
         tail = ends + np.arange(len(ends)) * reach
         mass[tail] = 1.0
         ahead = np.lib.stride_tricks.sliding_window_view(mass, reach)
-        by_length = np.argsort(self.starts - ends, kind="stable")
+        by_length = np.argsort(starts - ends, kind="stable")
         end, tail = ends[by_length], tail[by_length]
-        length = end - self.starts[by_length]
+        length = end - starts[by_length]
         for back in range(1, int(length[0]) + 1 if len(length) else 1):
             going = int(np.searchsorted(-length, -back, side="right"))
             at, spot = end[:going] - back, tail[:going] - back
@@ -176,26 +202,24 @@ class Lattices:
             for i in np.nonzero((total < 1e-150) | (total > 1e150))[0]:
                 mass[spot[i] : spot[i] + reach] /= total[i]
 
-    def walk(self, starts: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """A path through each stretch from its start: node, column and share of each step, in text order."""
-        nodes, columns, shares = [], [], []
-        node = starts
+    def walk(self, starts: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A path through each stretch from its start: its number in ``starts``, node, column and share of each step."""
+        owner, node = np.arange(len(starts)), starts
+        steps = []
         while len(node):
             row = self.share[node]
             reached = np.cumsum(row, axis=1)
             draw = rng.random(len(node)) * reached[:, -1]
             column = (reached <= draw[:, None]).sum(axis=1)
-            share = row[np.arange(len(node)), column]
-            nodes.append(node)
-            columns.append(column)
-            shares.append(share)
+            steps.append((owner, node, column, row[np.arange(len(node)), column]))
             ahead = node + column + 1
-            node = ahead[ahead < self.end[node]]
-        if not nodes:
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-        node = np.concatenate(nodes)
-        order = np.argsort(node)
-        return node[order], np.concatenate(columns)[order], np.concatenate(shares)[order]
+            going = ahead < self.end[node]
+            owner, node = owner[going], ahead[going]
+        if not steps:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        found = [np.concatenate(x) for x in zip(*steps)]
+        order = np.argsort(found[0], kind="stable")
+        return tuple(x[order] for x in found)
 
     def ids(self, node: np.ndarray, column: np.ndarray) -> np.ndarray:
         """Piece ids of a path; characters that no piece spells become the pieces of their bytes."""
@@ -230,8 +254,8 @@ def _truncated(log_mass: np.ndarray, bound: float, rng: np.random.Generator) ->
 class _Path:
     """An emitted segmentation and the open sets that leave it: one per step, with its perturbed value."""
 
-    def __init__(self, node, column, share, value: float, start: int, rng: np.random.Generator):
-        self.node, self.column, self.value = node, column, value
+    def __init__(self, owner, node, column, share, value: float, start: int, rng: np.random.Generator):
+        self.owner, self.node, self.column, self.value = owner, node, column, value
         self.before = np.concatenate([[0.0], np.cumsum(np.log(share))])
         self.share, self.log_prob = share, float(self.before[-1])
         rest = 1.0 - share[start:]
@@ -245,8 +269,7 @@ class _Path:
 
 def sample_paths(lattices: Lattices, text: int, k: int, rng: np.random.Generator) -> tuple[list[_Path], float]:
     """Up to ``k`` distinct segmentations, best perturbed value first, and the value of the next one (or -inf)."""
-    low, high = lattices.bounds[text], lattices.bounds[text + 1]
-    starts = lattices.starts[np.searchsorted(lattices.starts, low) : np.searchsorted(lattices.starts, high)]
+    starts = lattices.starts[lattices.bounds[text] : lattices.bounds[text + 1]]
     value = -float(np.log(rng.standard_exponential()))
     paths = [_Path(*lattices.walk(starts, rng), value, 0, rng)]
     while True:
@@ -266,12 +289,12 @@ def sample_paths(lattices: Lattices, text: int, k: int, rng: np.random.Generator
         left = share.sum()
         path.open[step] = _truncated(np.array([path.before[step] + np.log(left)]), value, rng)[0] if left > 0 else -np.inf
         # the new path: as before up to the step, the chosen piece, then freely drawn to the end
-        ahead = node + chosen + 1
-        tail = starts[np.searchsorted(starts, ahead) :]
-        if ahead < lattices.end[node]:
-            tail = np.concatenate([[ahead], tail])
-        nodes, columns, shares = lattices.walk(tail, rng)
+        stretch, ahead = int(path.owner[step]), node + chosen + 1
+        inside = ahead < lattices.end[node]
+        tail = starts[stretch + 1 :]
+        owner, nodes, columns, shares = lattices.walk(np.concatenate([[ahead], tail]) if inside else tail, rng)
         joined = (
+            np.concatenate([path.owner[: step + 1], owner + stretch + (not inside)]),
             np.concatenate([path.node[: step + 1], nodes]),
             np.concatenate([path.column[:step], [chosen], columns]),
             np.concatenate([path.share[:step], [taken], shares]),
@@ -357,7 +380,7 @@ def _sampled(docs: DataFrame, k: int, model: str, sharpness: float, seed: int, r
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = vocabulary_of(model, sharpness)
         for whole in batches:
-            for first in range(0, whole.num_rows, 200):
+            for first in range(0, whole.num_rows, 400):
                 batch = whole.slice(first, 200)
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 keys = [_row_key(i, seed) for i in batch.column("doc_id").to_pylist()]
@@ -375,5 +398,5 @@ def _sampled(docs: DataFrame, k: int, model: str, sharpness: float, seed: int, r
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, sample int, {columns}, log_prob double, perturbed double, inclusion double"
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return small_batches(docs).select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 

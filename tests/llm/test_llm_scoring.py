@@ -159,16 +159,19 @@ def vocabulary():
 def all_segmentations(text, vocabulary):
     lattice = pieces.Lattices(vocabulary, [text])
 
-    def paths(i):
-        if i == len(lattice.char):
-            yield (), 0.0
-            return
-        for c in np.nonzero(lattice.share[i])[0]:
-            ids = tuple(lattice.ids(np.array([i]), np.array([c])).tolist())
-            for rest, log in paths(i + int(c) + 1):
-                yield ids + rest, log + math.log(lattice.share[i, c])
-
-    return dict(paths(0))
+    def paths(stretches, node):
+        if node is None:
+            if not len(stretches):
+                yield (), 0.0
+                return
+            stretches, node = stretches[1:], int(stretches[0])
+        for c in np.nonzero(lattice.share[node])[0]:
+            ids = tuple(lattice.ids(np.array([node]), np.array([c])).tolist())
+            ahead = node + int(c) + 1
+            for rest, log in paths(stretches, ahead if ahead < lattice.end[node] else None):
+                yield ids + rest, log + math.log(lattice.share[node, c])
+
+    return dict(paths(lattice.starts, None))
 
 
 def test_lattice_holds_every_segmentation(vocabulary):
