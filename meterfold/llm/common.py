@@ -82,6 +82,19 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(first, rows)
 
 
+def released(batches: Iterator[pa.RecordBatch], *memos: dict) -> Iterator[pa.RecordBatch]:
+    """The batches, and at the end of the task its memory back to the system.
+
+    Python workers serve one task after the other, of other operators too, and would hold on to it.
+    """
+    try:
+        yield from batches
+    finally:
+        for memo in memos:
+            memo.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def map_batches(df: DataFrame, step: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """``mapInArrow`` with a function from one batch to one table."""
 

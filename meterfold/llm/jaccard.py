@@ -32,6 +32,7 @@ from meterfold.llm.common import (
     components_of,
     connected_components,
     ngram_hashes,
+    released,
     small_batches,
     text_bytes,
     word_hashes,
@@ -101,7 +102,7 @@ def _pack(rows: DataFrame, sets: Callable[[pa.RecordBatch], tuple[np.ndarray, np
                 yield _rows(out)
                 number += 1
 
-    return rows.mapInArrow(run, _PACKED)
+    return rows.mapInArrow(lambda batches: released(run(batches)), _PACKED)
 
 
 def _count_block(rows: pa.Table) -> pa.Table:
@@ -127,7 +128,9 @@ def _count_block(rows: pa.Table) -> pa.Table:
             row = (r["batch"], r["block"], False, docs.tobytes(), b"", own[shared].tobytes(), binary(times[shared], "<u4"))
         for column_, value in zip(out, row):
             column_.append(value)
-    return pa.Table.from_batches([_rows(out)])
+    found = pa.Table.from_batches([_rows(out)])
+    pa.default_memory_pool().release_unused()
+    return found
 
 
 def _gather(percent: int, rare_first: bool) -> Callable[[pa.Table], pa.Table]:

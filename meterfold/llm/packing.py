@@ -14,8 +14,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterfold.llm.common import slices, small_batches
-from meterfold.llm.tokens import VOCABULARY, encoded
+from meterfold.llm.common import released, slices, small_batches
+from meterfold.llm.tokens import VOCABULARY, encoded, encoder
 from meterfold.session import materialise
 
 SEQUENCE = 2048
@@ -48,9 +48,12 @@ def cut_documents(docs: DataFrame, capacity: int = SEQUENCE, vocabulary: str = V
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return released(cut(batches), encoder(vocabulary).memo)
+
     kind = docs.schema["doc_id"].dataType.simpleString()
     chosen = small_batches(docs).select("doc_id", F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(cut, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return chosen.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 @dataclass(frozen=True)

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterfold.llm.common import map_batches, slices, small_batches
+from meterfold.llm.common import map_batches, released, slices, small_batches
 from meterfold.session import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,7 +24,7 @@ ID = "<u4"
 
 # Texts are encoded in groups of about this many characters; the memo holds so many chunks.
 GROUP_CHARS = 2_000_000
-MEMO_CHUNKS = 400_000
+MEMO_CHUNKS = 300_000
 
 
 # Marks that are encoded apart from a word in front, and spacing other than single spaces.
@@ -207,9 +207,12 @@ def write_tokens(
             )
             before += int(counts.sum())
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return released(encode(batches), encoder(vocabulary).memo)
+
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens int, part int, first bigint, ids array<int>"
-    writer = _in_order(docs).mapInArrow(encode, schema).write.mode("errorifexists")
+    writer = _in_order(docs).mapInArrow(run, schema).write.mode("errorifexists")
     for column in ("doc_id", "n_tokens", "part", "first"):
         writer = writer.option(f"parquet.enable.dictionary#{column}", "false")
     (
