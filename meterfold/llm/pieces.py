@@ -28,14 +28,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterfold.llm.common import small_batches
+from meterfold.llm.common import slices, small_batches
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SAMPLES = 3
 # Exponent of the piece probabilities: 1 samples from the model, less spreads the choice.
 SHARPNESS = 0.5
 SEED = 5
-# Characters whose lattices are built together, and the slots of the piece table.
+# Texts sampled at a time, characters whose lattices are built together, and the slots of the piece table.
+SLICE_ROWS = 200
 GROUP_CHARS = 1_000_000
 _SLOT_BITS = 20
 
@@ -379,22 +380,20 @@ def _sampled(docs: DataFrame, k: int, model: str, sharpness: float, seed: int, r
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = vocabulary_of(model, sharpness)
-        for whole in batches:
-            for first in range(0, whole.num_rows, 400):
-                batch = whole.slice(first, 200)
-                texts = [t or "" for t in batch.column("text").to_pylist()]
-                keys = [_row_key(i, seed) for i in batch.column("doc_id").to_pylist()]
-                found = [(row, s, *x) for row, xs in enumerate(segmentations(texts, keys, k, vocabulary)) for s, x in enumerate(xs)]
-                digests = list(zip(*rows_of([f[2] for f in found], [texts[f[0]] for f in found], vocabulary)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64())),
-                        pa.array([f[1] for f in found], pa.int32()),
-                        *[pa.array(c, t) for c, t in zip(digests, kinds)],
-                        *[pa.array([f[i] for f in found], pa.float64()) for i in (3, 4, 5)],
-                    ],
-                    names=["doc_id", "sample", *names, "log_prob", "perturbed", "inclusion"],
-                )
+        for batch in slices(batches, SLICE_ROWS):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            keys = [_row_key(i, seed) for i in batch.column("doc_id").to_pylist()]
+            found = [(row, s, *x) for row, xs in enumerate(segmentations(texts, keys, k, vocabulary)) for s, x in enumerate(xs)]
+            digests = list(zip(*rows_of([f[2] for f in found], [texts[f[0]] for f in found], vocabulary)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64())),
+                    pa.array([f[1] for f in found], pa.int32()),
+                    *[pa.array(c, t) for c, t in zip(digests, kinds)],
+                    *[pa.array([f[i] for f in found], pa.float64()) for i in (3, 4, 5)],
+                ],
+                names=["doc_id", "sample", *names, "log_prob", "perturbed", "inclusion"],
+            )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, sample int, {columns}, log_prob double, perturbed double, inclusion double"

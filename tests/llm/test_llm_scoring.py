@@ -237,3 +237,11 @@ def test_segmentations_decode(docs, corpus, vocabulary):
         (r["doc_id"], r["sample"], len(r["ids"])) for r in rows
     )
     assert pieces.sample_segmentations(docs([])).count() == 0
+
+
+def test_every_row_of_a_large_batch_is_segmented(docs):
+    """More rows in one partition than an Arrow batch holds, and than are sampled at a time."""
+    n = 2_300
+    rows = docs([(i, f"w{i} of many") for i in range(n)]).coalesce(1)
+    for got in (pieces.sample_segmentations(rows, 2), pieces.segmentation_digests(rows, 2)):
+        assert Counter(r["doc_id"] for r in got.select("doc_id").collect()) == Counter({i: 2 for i in range(n)})
