@@ -14,7 +14,14 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterfold.functions.timebucket import DAY_START, add_months, production_day, timestamp_literal, ts_to_epoch_ms
+from meterfold.functions.timebucket import (
+    DAY_START,
+    add_months,
+    calendar_bucket,
+    production_day,
+    timestamp_literal,
+    ts_to_epoch_ms,
+)
 from meterfold.operators import incremental, statistics
 from meterfold.operators.incremental import WATERMARK_OFFSET
 from meterfold.operators.series import TELEMETRY
@@ -102,8 +109,8 @@ def _from_watermarks(
 
     The fleet is read from the watermark that all but a few series have passed. Older files are
     read for the series behind it alone, from the oldest of those on, and for a series without a
-    watermark from its beginning (or ``unseen_since``) or from where ``searched`` says that earlier
-    runs have looked for it in vain. So a dead or a silent meter costs its own readings, not a scan
+    watermark from its beginning (or ``unseen_since``) or from where ``searched`` says that there is
+    nothing of it before. So a dead or a silent meter costs its own readings, not a scan
     of everybody's. ``series`` holds ``device_id, device_type, key_id`` and ``id_column``.
     """
     marks = latest.select(*incremental.SERIES_KEY, F.col("latest_stat_time").alias("_mark"))
@@ -156,10 +163,11 @@ def _telemetry(
 ) -> tuple[DataFrame, tuple[DataFrame, DataFrame]]:
     """Readings from the watermarks on, and what :func:`_mark_searched` needs of them."""
     series = _read_series(estate, devices, role)
+    latest = store.read(table)
     values = _from_watermarks(
         series.drop("reading_key"),
-        store.read(table),
-        store.read(SEARCHED[table]),
+        latest,
+        _still_silent(estate, series, latest, store.read(SEARCHED[table]), grain, shift),
         grain,
         lambda a, b: _values(estate, a, b),
         "entity_id",
@@ -168,6 +176,27 @@ def _telemetry(
     return values, (series, values)
 
 
+def _still_silent(
+    estate: Estate, series: DataFrame, latest: DataFrame, searched: DataFrame, grain: str, shift: timedelta
+) -> DataFrame:
+    """The marks of ``searched`` before which their series have no reading even now.
+
+    A meter may report for the first time with a backlog, which is older than how far it was searched
+    for. Its mark is left out then, so that it is read from its beginning. Telemetry does not tell when
+    a reading arrived, so the first reading of each key before the marks is looked up; nothing is read
+    where no series of this job has only such a mark.
+    """
+    begin = (calendar_bucket(F.col("latest_stat_time"), grain) + F.lit(shift)).alias("_begin")
+    marks = searched.join(latest.select(*incremental.SERIES_KEY), incremental.SERIES_KEY, "left_anti")
+    marks = materialise(marks.select(*incremental.SERIES_KEY, begin).join(series, incremental.SERIES_KEY), "job-searched")
+    until = marks.agg(F.max("_begin").alias("t")).first()["t"]
+    if until is None:
+        return searched
+    begins = _values(estate, None, until).groupBy("entity_id", F.col("key_id").alias("reading_key")).agg(F.min("ts").alias("_first"))
+    back = marks.join(begins, ["entity_id", "reading_key"]).filter(F.col("_first") < F.col("_begin"))
+    return searched.join(back.select(*incremental.SERIES_KEY), incremental.SERIES_KEY, "left_anti")
+
+
 def _mark_searched(store: StatStore, table: str, series: DataFrame, values: DataFrame) -> None:
     """Note for the series without a watermark and without any reading how far the telemetry was searched.
 

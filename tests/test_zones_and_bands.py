@@ -116,6 +116,38 @@ def test_a_meter_that_never_reported_is_remembered(spark):
     assert {r["device_id"] for r in store.read("minute_latest").collect()} == {"W1", "W2"}
 
 
+def test_the_backlog_of_a_silent_meter_is_read_from_its_beginning(spark):
+    """A meter that first reports long after it was searched for, with readings from before that."""
+    start, devices = datetime(2025, 3, 1, 5), [("W1", "w", "P1", "W", None), ("W2", "late", "P1", "W", None)]
+    steady = [("w", k, start + timedelta(hours=5 * n), 3.0 * n) for n in range(50) for k in (569, 700)]
+    backlog = [("late", k, datetime(2025, 2, 20, 7) + timedelta(hours=9 * n), 2.0 * n) for n in range(30) for k in (569, 700)]
+    results = []
+    for runs in ([steady + backlog], [steady, steady + backlog]):
+        store = StatStore(spark, tempfile.mkdtemp(prefix="meterfold-test-"))
+        for rows in runs:
+            part = estate(spark, rows, devices)
+            for job in (
+                jobs.minute_other, jobs.hour_other, jobs.hour_rate_other, jobs.day_profile, jobs.day_consumption, jobs.day_rate_other,
+            ):
+                job(part, store, AS_OF)
+        results.append({t: sorted(map(tuple, store.read(t).collect()), key=str) for t in ("minutely", "hourly", "daily")})
+    assert all(any("W2" in r for r in results[0][t]) for t in results[0])
+    assert results[0] == results[1]
+
+
+def test_readings_between_the_mark_and_the_start_of_the_day_are_read(spark):
+    """A production day's scan starts at 08:00, which may be behind the mark."""
+    devices = [("W1", "w", "P1", "W", None), ("W2", "late", "P1", "W", None)]
+    steady = [("w", 569, datetime(2025, 3, 1) + timedelta(hours=n), 1.0 * n) for n in range(30)]
+    store = StatStore(spark, tempfile.mkdtemp(prefix="meterfold-test-"))
+    first = estate(spark, steady, devices)
+    jobs._mark_searched(store, "day_latest", jobs._read_series(first, first.device.filter("device_id = 'W2'"), "consumption"), jobs._values(first, None))
+    assert [r["latest_stat_time"] for r in store.read("day_searched").collect()] == [datetime(2025, 3, 1, 5)]
+    both = estate(spark, steady + [("late", 569, datetime(2025, 3, 1, 6), 1.0), ("late", 569, datetime(2025, 3, 1, 9), 4.0)], devices)
+    values, _ = jobs._telemetry(both, store, both.device, "consumption", "day_latest", "day", jobs.DAY_START)
+    assert sorted(r["ts"].hour for r in values.filter("entity_id = 'late'").collect()) == [6, 9]
+
+
 def test_jobs_of_different_owners_keep_each_others_rows(spark):
     """Both read the table before either writes, as two jobs at the same time would."""
     root = tempfile.mkdtemp(prefix="meterfold-test-")
