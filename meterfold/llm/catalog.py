@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from meterfold.llm import embeddings, exact, jaccard, lm, packing, pieces, sharding, tokens, toxicity, urls
+from meterfold.llm import audit, embeddings, exact, first_fit, jaccard, lm, packing, pieces, sharding, tokens, toxicity, urls, whitening
 from meterfold.llm.common import table
 
 
@@ -47,6 +47,18 @@ def op10_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_first_fit_packing(spark, sf_dir):
+    return first_fit.pack(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark, sf_dir):
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -60,6 +72,9 @@ LLM_QUERIES = {
         op8_exact_dedup,
         op9_ngram_jaccard,
         op10_url_filter,
+        op11_first_fit_packing,
+        op12_embedding_whitening,
+        op13_filter_audit,
     )
 }
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
@@ -192,6 +207,45 @@ WITH RECURSIVE split AS (
 SELECT doc_id, len(s) AS n_shingles, component_id
 FROM sets JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node) USING (doc_id)""",
     "op10_url_filter": _url_sql(),
+    "op13_filter_audit": """
+WITH RECURSIVE split AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part,
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), failed AS (
+  SELECT doc_id, part, list_filter([
+    CASE WHEN len(w) < 200 THEN 'A' END,
+    CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END], lambda f: f IS NOT NULL) AS f
+  FROM split
+), marks AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id
+), cells AS (
+  SELECT part, f, count(*) AS n, count_if(good) AS n_good, count_if(toxic) AS n_toxic
+  FROM failed LEFT JOIN marks USING (doc_id) GROUP BY part, f
+), orders AS (
+  SELECT '' AS filter_order
+  UNION ALL SELECT filter_order || l FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) WHERE NOT contains(filter_order, l)
+), steps AS (
+  SELECT filter_order, step::int AS step, filter_order[step] AS f, string_split(filter_order[:step - 1], '') AS before,
+    string_split(filter_order[:step], '') AS after
+  FROM orders, range(1, 6) r(step) WHERE length(filter_order) = 5
+), counted AS (
+  SELECT c.part, s.filter_order, s.step, s.f,
+    sum(CASE WHEN NOT list_has_any(c.f, s.after) THEN c.n ELSE 0 END) AS kept,
+    sum(CASE WHEN list_contains(c.f, s.f) AND NOT list_has_any(c.f, s.before) THEN c.n ELSE 0 END) AS removed,
+    sum(CASE WHEN list_contains(c.f, s.f) AND list_has_any(c.f, s.before) THEN c.n ELSE 0 END) AS redundant,
+    sum(CASE WHEN c.f = [s.f] THEN c.n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN list_contains(c.f, s.f) AND NOT list_has_any(c.f, s.before) THEN c.n_good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN list_contains(c.f, s.f) AND NOT list_has_any(c.f, s.before) THEN c.n_toxic ELSE 0 END) AS toxic_lost
+  FROM cells c, steps s GROUP BY ALL
+)
+SELECT part, filter_order, step, kept::bigint AS kept, removed::bigint AS removed, redundant::bigint AS redundant,
+  unique_fails::bigint AS unique_fails, good_lost::bigint AS good_lost, toxic_lost::bigint AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, f))::bigint AS shapley
+FROM counted""",
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

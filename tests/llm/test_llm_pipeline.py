@@ -42,7 +42,7 @@ def test_query_equals_its_sql(spark, tables, name):
 def test_all_are_registered():
     registered = entry.queries()
     assert {"pipeline", *(n for n in LLM_QUERIES)} <= set(registered)
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 def test_stages_and_whole_run(spark):
