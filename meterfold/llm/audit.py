@@ -27,7 +27,7 @@ LEAST_WORDS = 200
 LEAST_DISTINCT = 50
 MOST_CAPITALS = 2
 MARKS = "[#$%&*|]"
-COPIES = "E"
+TEXT_FILTERS, COPIES = ("A", "B", "C", "D"), "E"
 
 
 def words_of(text: Column) -> Column:
@@ -48,7 +48,7 @@ def text_filters(text: Column, words: Column) -> dict[str, Column]:
 
 
 def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``key, doc_id, part, good, toxic, digest, failed`` of each row; texts are read once and stay behind."""
+    """``key, doc_id, part, good, toxic, digest`` of each row and whether it fails A to D; texts are read once and stay behind."""
     texts = docs.select("doc_id", or_empty(F.col("source")).alias("part"), or_empty(F.col("text")).alias("text"))
     filters = text_filters(F.col("text"), F.col("words"))
     rows = texts.withColumn("words", words_of(F.col("text"))).select(
@@ -56,7 +56,7 @@ def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "doc_id",
         "part",
         F.unhex(F.sha2("text", 256)).alias("digest"),
-        F.array_compact(F.array(*[F.when(failing, F.lit(name)) for name, failing in filters.items()])).alias("failed"),
+        *[failing.alias(name) for name, failing in filters.items()],
     )
     marks = labels.filter("doc_id is not null").groupBy("doc_id").agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"),
@@ -78,7 +78,8 @@ def store_failing_ids(rows: DataFrame) -> DataFrame:
     """``filter, key, part, good, toxic``: one table of failing rows per filter, each in a folder of its own."""
     spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "failing-ids")
     columns = ["filter", "key", "part", "good", "toxic"]
-    texts = rows.withColumn("filter", F.explode("failed")).select(*columns)
+    failed = F.array_compact(F.array(*[F.when(F.col(f), F.lit(f)) for f in TEXT_FILTERS]))
+    texts = rows.withColumn("filter", F.explode(failed)).select(*columns)
     texts.write.partitionBy("filter").parquet(path)
     _copies(rows).withColumn("filter", F.lit(COPIES)).select(*columns).write.mode("append").partitionBy("filter").parquet(path)
     schema = "key bigint, part string, good boolean, toxic boolean, filter string"
