@@ -113,6 +113,41 @@ def _measured(bucket: str, code: int) -> str:
 
 _RANGE = "ts >= TIMESTAMP '2024-01-05 06:30:00'"
 
+_DAY_RUNS = f"""SELECT p.device_type, p.device_id, CAST(p.key_id AS BIGINT) AS key_id, p.stat_time, CAST(3 AS BIGINT) AS stat_type,
+    CAST(f.consumption AS DOUBLE) AS dbl_stats, p.dbl_avg, p.dbl_min, p.dbl_max, {', '.join('t.' + c for c in TOU)},
+    CAST(f.consumption * m.float_value AS DOUBLE) AS kgco2e
+    FROM (SELECT device_type, device_id, key_id, {_DAY} AS stat_time, avg(dbl_stats) AS dbl_avg,
+            CAST(min(dbl_stats) AS DOUBLE) AS dbl_min, CAST(max(dbl_stats) AS DOUBLE) AS dbl_max FROM hourly GROUP BY ALL) p
+    LEFT JOIN fleet_day f ON f.device_id = p.device_id AND f.key_id = p.key_id AND f.stat_time = p.stat_time
+    LEFT JOIN param m ON m.factory_id = f.factory_id AND m.device_type = f.device_type
+    LEFT JOIN (SELECT device_id, {_DAY} AS stat_time, {_share('dbl_stats', 'PE')} AS peak_energy,
+            {_share('dbl_stats', 'PP', 'SPP')} AS partial_peak_energy, {_share('dbl_stats', 'OP')} AS off_peak_energy,
+            CAST(sum(charge) AS DOUBLE) AS charge, {_share('charge', 'PE')} AS peak_charge,
+            {_share('charge', 'PP', 'SPP')} AS partial_peak_charge, {_share('charge', 'OP')} AS off_peak_charge
+          FROM hourly_electric GROUP BY ALL) t
+        ON p.device_type = 'E' AND t.device_id = p.device_id AND t.stat_time = p.stat_time
+    UNION ALL
+    SELECT e.device_type, e.device_id, CAST(a.avg_key_id AS BIGINT),
+    CAST(date_trunc('day', c.ts - INTERVAL '8' HOUR) AS TIMESTAMP), CAST(3 AS BIGINT), avg(c.value_c), NULL,
+    CAST(min(c.value_c) AS DOUBLE), CAST(max(c.value_c) AS DOUBLE), {NO_TOU}, NULL
+    FROM counter c JOIN eligible e USING (entity_id) JOIN avg_key_config a ON a.rate_key_id = c.key_id GROUP BY ALL
+    UNION ALL
+    SELECT device_type, device_id, key_id, stat_time, CAST(3 AS BIGINT), dbl_stats, NULL, NULL, NULL, {NO_TOU}, NULL
+    FROM ({_rates("date_trunc('day', c.ts)")}) r"""
+
+
+def _redone(grain: str) -> str:
+    """Months or years of the consumption keys, summed from the days."""
+    sums = ", ".join(f"sum({c}) AS {c}" for c in TOU)
+    return sql(
+        f"""SELECT device_type, device_id, key_id, CAST(date_trunc('{grain}', stat_time) AS TIMESTAMP) AS stat_time,
+        coalesce(sum(dbl_stats), 0) AS dbl_stats, {sums}, sum(kgco2e) AS kgco2e
+        FROM ({_DAY_RUNS}) d WHERE key_id = CASE device_type WHEN 'E' THEN 554 WHEN 'W' THEN 626 WHEN 'A' THEN 634
+            WHEN 'S' THEN 631 WHEN 'G' THEN 635 END GROUP BY ALL""",
+        labelled="fleet_clock",
+    )
+
+
 ORACLES: dict[str, str] = {
     "a1_readings": sql(
         """SELECT d.device_id, d.device_type, t.key AS key_id, k.consumption_key_id, t.ts AS ts_ms,
@@ -155,6 +190,13 @@ ORACLES: dict[str, str] = {
     ),
     "a9_drop_logs": """SELECT event_id, CASE WHEN event_type <> 'purchase' THEN 'x|' || upper(event_type) || '|y' END AS str_v
         FROM events WHERE event_type <> 'error'""",
+    "a8_retain_stored": """SELECT event_id, epoch_ms(ts) AS ts,
+        (SELECT count(DISTINCT ts::date) FROM events WHERE ts < TIMESTAMP '2024-01-14 00:00:00') AS dropped,
+        (SELECT count(DISTINCT ts::date) FROM events WHERE ts >= TIMESTAMP '2024-01-14 00:00:00' AND ts < TIMESTAMP '2024-01-14 16:00:00')
+            AS rewritten
+        FROM events WHERE ts >= TIMESTAMP '2024-01-14 16:00:00'""",
+    "a9_drop_logs_stored": """SELECT event_id, epoch_ms(ts) AS ts,
+        CASE WHEN event_type <> 'purchase' THEN 'x|' || upper(event_type) || '|y' END AS str_v FROM events WHERE event_type <> 'error'""",
     "b1_minute": _buckets("date_trunc('minute', ts)", "readings"),
     "b1_hour": _buckets("date_trunc('hour', ts)", "readings"),
     "b1_day": _buckets("CAST(date_trunc('day', ts) AS TIMESTAMP)", "readings"),
@@ -384,30 +426,7 @@ ORACLES: dict[str, str] = {
         FROM ({_rates("date_trunc('hour', c.ts)")}) r""",
         labelled="fleet_clock",
     ),
-    "f14_day_runs": sql(
-        f"""SELECT p.device_type, p.device_id, CAST(p.key_id AS BIGINT) AS key_id, p.stat_time, CAST(3 AS BIGINT) AS stat_type,
-        CAST(f.consumption AS DOUBLE) AS dbl_stats, p.dbl_avg, p.dbl_min, p.dbl_max, {', '.join('t.' + c for c in TOU)},
-        CAST(f.consumption * m.float_value AS DOUBLE) AS kgco2e
-        FROM (SELECT device_type, device_id, key_id, {_DAY} AS stat_time, avg(dbl_stats) AS dbl_avg,
-                CAST(min(dbl_stats) AS DOUBLE) AS dbl_min, CAST(max(dbl_stats) AS DOUBLE) AS dbl_max FROM hourly GROUP BY ALL) p
-        LEFT JOIN fleet_day f ON f.device_id = p.device_id AND f.key_id = p.key_id AND f.stat_time = p.stat_time
-        LEFT JOIN param m ON m.factory_id = f.factory_id AND m.device_type = f.device_type
-        LEFT JOIN (SELECT device_id, {_DAY} AS stat_time, {_share('dbl_stats', 'PE')} AS peak_energy,
-                {_share('dbl_stats', 'PP', 'SPP')} AS partial_peak_energy, {_share('dbl_stats', 'OP')} AS off_peak_energy,
-                CAST(sum(charge) AS DOUBLE) AS charge, {_share('charge', 'PE')} AS peak_charge,
-                {_share('charge', 'PP', 'SPP')} AS partial_peak_charge, {_share('charge', 'OP')} AS off_peak_charge
-              FROM hourly_electric GROUP BY ALL) t
-            ON p.device_type = 'E' AND t.device_id = p.device_id AND t.stat_time = p.stat_time
-        UNION ALL
-        SELECT e.device_type, e.device_id, CAST(a.avg_key_id AS BIGINT),
-        CAST(date_trunc('day', c.ts - INTERVAL '8' HOUR) AS TIMESTAMP), CAST(3 AS BIGINT), avg(c.value_c), NULL,
-        CAST(min(c.value_c) AS DOUBLE), CAST(max(c.value_c) AS DOUBLE), {NO_TOU}, NULL
-        FROM counter c JOIN eligible e USING (entity_id) JOIN avg_key_config a ON a.rate_key_id = c.key_id GROUP BY ALL
-        UNION ALL
-        SELECT device_type, device_id, key_id, stat_time, CAST(3 AS BIGINT), dbl_stats, NULL, NULL, NULL, {NO_TOU}, NULL
-        FROM ({_rates("date_trunc('day', c.ts)")}) r""",
-        labelled="fleet_clock",
-    ),
+    "f14_day_runs": sql(_DAY_RUNS, labelled="fleet_clock"),
     "f14_month_runs": sql(
         f"""SELECT {KEYED}, {_thousandths('dbl_stats')}, {', '.join(TOU)}, kgco2e
         FROM month_electricity JOIN eligible USING (device_id, device_type)
@@ -484,6 +503,13 @@ ORACLES: dict[str, str] = {
     "i3_rewind_hour": _rewound("date_trunc('hour', x.ts)", "INTERVAL '3599' SECOND"),
     "i3_rewind_day": _rewound("date_trunc('day', x.ts - INTERVAL '8' HOUR)", PRODUCTION_DAY),
     "i3_rewind_calendar_day": _rewound("date_trunc('day', x.ts)", "INTERVAL '3599' SECOND"),
+    "a1_arrival_log": """SELECT user_id AS entity_id, key_id, epoch_ms(min(ts)) AS first_ms, CAST(min(load) AS BIGINT) AS first_arrival
+        FROM (SELECT *, CASE event_type WHEN 'click' THEN 142 WHEN 'view' THEN 569 WHEN 'purchase' THEN 596 WHEN 'signup' THEN 608
+                ELSE 612 END::BIGINT AS key_id,
+              CASE WHEN ts < TIMESTAMP '2024-01-17 10:20:30' AND event_id % 9 <> 4 AND user_id % 5 <> 3 THEN 0 ELSE 1 END AS load FROM events) e
+        GROUP BY ALL""",
+    "i3_redone_months": _redone("month"),
+    "i3_redone_years": _redone("year"),
     "a10_write_stat": sql(
         f"""SELECT device_type, device_id, CAST(key_id AS BIGINT) AS key_id, stat_time, dbl_stats,
         CAST(NULL AS DOUBLE) AS dbl_min, CAST(NULL AS DOUBLE) AS dbl_max, CAST(2 AS BIGINT) AS stat_type
@@ -496,4 +522,20 @@ ORACLES: dict[str, str] = {
     "i1_stream_hour": sql(_measured("date_trunc('hour', r.ts)", 2)),
     "i1_stream_production_day": sql(_measured("CAST(date_trunc('day', r.ts - INTERVAL '8' HOUR) AS TIMESTAMP)", 3)),
     "i2_stream_delta": _steps("readings"),
+    "i1_late_days": sql(
+        """SELECT e.device_type, e.device_id, CAST(a.avg_key_id AS BIGINT) AS key_id,
+        CAST(date_trunc('day', r.ts - INTERVAL '8' HOUR) AS TIMESTAMP) AS stat_time, avg(r.value_c) AS dbl_stats,
+        CAST(min(r.value_c) AS DOUBLE) AS dbl_min, CAST(max(r.value_c) AS DOUBLE) AS dbl_max, CAST(3 AS BIGINT) AS stat_type
+        FROM readings r JOIN eligible e USING (entity_id) JOIN avg_key_config a ON a.rate_key_id = r.key_id GROUP BY ALL"""
+    ),
 }
+# the same facts, however the readings came
+for _redo, _runs in (
+    ("h5_drop_stored_column", "h5_drop_column"),
+    ("i1_late_hours", "a10_write_stat"),
+    ("i2_restarted", "i2_stream_delta"),
+    ("i3_redone_minutes", "f14_minute_runs"),
+    ("i3_redone_hours", "f14_hour_runs"),
+    ("i3_redone_days", "f14_day_runs"),
+):
+    ORACLES[_redo] = ORACLES[_runs]

@@ -12,10 +12,13 @@ from meterfold.catalog.views import EXCLUDED, SERIES, TABLES, Views
 from meterfold.functions import period, timebucket
 from meterfold.operators import carbon, consumption, incremental, quality, statistics, tariff
 from meterfold.plans.jobs import Estate, run_grain
-from meterfold.session import fresh_path
-from meterfold.sources import telemetry
+from meterfold.plans.rewind import rewind, run_arrived
+from meterfold.session import fresh_path, materialise
+from meterfold.sources import maintenance, telemetry
+from meterfold.sources.arrivals import ArrivalLog
 from meterfold.sources.store import StatStore
 from meterfold.streaming.bucket_stats import stream_bucket_stats, upsert_stream
+from meterfold.streaming.buckets import BucketStream, average_series, rate_series
 from meterfold.streaming.delta import DeltaStream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +123,33 @@ def a9_drop_logs(v: Views) -> DataFrame:
     return telemetry.drop_log_rows(hot)
 
 
+def _hot(v: Views) -> str:
+    """Events as a stored hot table by date, purchases without a text."""
+    marked = F.when(F.col("event_type") != "purchase", F.concat(F.lit("x|"), F.upper("event_type"), F.lit("|y")))
+    rows = v.table("events").select(
+        "event_id", timebucket.ts_to_epoch_ms(F.col("ts")).alias("ts"), marked.alias("str_v"), F.to_date("ts").alias("date")
+    )
+    path = fresh_path(v.spark, "hot")
+    rows.write.partitionBy("date").parquet(path)
+    return path
+
+
+@query
+def a8_retain_stored(v: Views) -> DataFrame:
+    """What is left of a stored table, and the number of folders that were dropped and rewritten for it."""
+    path = _hot(v)
+    changes = maintenance.retain(v.spark, path, datetime(2024, 1, 15))
+    counts = {"dropped": F.lit(len(changes.dropped)), "rewritten": F.lit(len(changes.rewritten))}
+    return longs(v.spark.read.parquet(path).select("event_id", "ts").withColumns(counts), "dropped", "rewritten")
+
+
+@query
+def a9_drop_logs_stored(v: Views) -> DataFrame:
+    path = _hot(v)
+    maintenance.drop_logs(v.spark, path)
+    return v.spark.read.parquet(path).select("event_id", "ts", "str_v")
+
+
 # B: time bucketing
 
 
@@ -548,6 +578,89 @@ def f14_day_runs(v: Views) -> DataFrame:
     return longs(facts.select(*statistics.FACT_KEY, *columns), "device_id", "key_id", "stat_type")
 
 
+# In the first load one meter in five is silent and every ninth reading is missing; both come with the second.
+def _punctual(v: Views) -> Column:
+    on_time = (F.col("ts") < timebucket.timestamp_literal(FIRST_RUN)) & (F.col("event_id") % 9 != 4)
+    return on_time & (F.col("entity_id") % 5 != 3)
+
+
+def _arriving(v: Views) -> ArrivalLog:
+    telemetry = v.as_telemetry(v.counter)
+    return ArrivalLog(v.spark, fresh_path(v.spark, "arrivals"), telemetry.schema)
+
+
+def _in_two_loads(v: Views, schedule: list[tuple[str, str, dict]]) -> StatStore:
+    """The scheduled runs after each of two loads; what the second brings too late is redone."""
+    log, store = _arriving(v), StatStore(v.spark, fresh_path(v.spark, "stats"))
+    estate = Estate(
+        ts_kv=None,
+        device=v.device.withColumn("device_id", F.col("device_id").cast("string")),
+        key_config=v.key_config,
+        param=v.param,
+        key_dictionary=v.volumes,
+        avg_key_config=v.avg_key_config,
+        device_keys=v.consumed_keys,
+        electricity_rate=v.electricity_rate,
+        energy_charge=v.energy_charge,
+        arrivals=log,
+        exclude_factories=EXCLUDED,
+    )
+    counter = materialise(v.counter, "arriving")
+    for number, load in enumerate((counter.filter(_punctual(v)), counter.filter(~_punctual(v)))):
+        log.load(v.as_telemetry(load), number)
+        run_arrived(estate, store, AS_OF, schedule)
+    return store
+
+
+@query
+def a1_arrival_log(v: Views) -> DataFrame:
+    """First reading and first load of every series, from the loads' summaries."""
+    log = _arriving(v)
+    for number, chosen in enumerate((_punctual(v), ~_punctual(v))):
+        log.load(v.as_telemetry(v.counter.filter(chosen)), number)
+    return longs(log.seen(log.newest()), "key_id")
+
+
+@query
+def i3_redone_minutes(v: Views) -> DataFrame:
+    """Late readings and backlogs: minutes after a rewind equal one run over everything."""
+    facts = _in_two_loads(v, MINUTES).read("minutely")
+    return longs(facts.select(*statistics.FACT_KEY, "stat_type", "dbl_stats", "kgco2e"), "device_id", "key_id", "stat_type")
+
+
+@query
+def i3_redone_hours(v: Views) -> DataFrame:
+    columns = ["stat_type", "dbl_stats", "dbl_avg", "dbl_min", "dbl_max", "charge", "period_type", "kgco2e"]
+    facts = _in_two_loads(v, HOURS).read("hourly")
+    return longs(facts.select(*statistics.FACT_KEY, *columns), "device_id", "key_id", "stat_type")
+
+
+@query
+def i3_redone_days(v: Views) -> DataFrame:
+    columns = ["stat_type", "dbl_stats", "dbl_avg", "dbl_min", "dbl_max", *statistics.TOU_COLUMNS, "kgco2e"]
+    facts = _in_two_loads(v, DAYS).read("daily")
+    return longs(facts.select(*statistics.FACT_KEY, *columns), "device_id", "key_id", "stat_type")
+
+
+CALENDAR = [*DAYS[:5], *((g, m, {"refresh_open": True}) for g in ("month", "year") for m in ("electricity", "other"))]
+
+
+def _redone_periods(v: Views, table: str) -> DataFrame:
+    columns = ["dbl_stats", *statistics.TOU_COLUMNS, "kgco2e"]
+    return longs(_in_two_loads(v, CALENDAR).read(table).select(*statistics.FACT_KEY, *columns), "device_id", "key_id")
+
+
+@query
+def i3_redone_months(v: Views) -> DataFrame:
+    """Months up to the newest one, among them those before it that late readings fall into."""
+    return _redone_periods(v, "monthly")
+
+
+@query
+def i3_redone_years(v: Views) -> DataFrame:
+    return _redone_periods(v, "yearly")
+
+
 def _calendar_runs(v: Views, table: str) -> DataFrame:
     """Months and years rolled up when the days before 1998 are stored, and again when all are."""
     store = StatStore(v.spark, fresh_path(v.spark, "stats"))
@@ -759,6 +872,17 @@ def h5_drop_column(v: Views) -> DataFrame:
     return longs(kept.select(*sorted(kept.columns)), "key_id")
 
 
+@query
+def h5_drop_stored_column(v: Views) -> DataFrame:
+    """A column that goes from stored daily facts, folder by folder."""
+    path = fresh_path(v.spark, "facts")
+    facts = v.daily.withColumn("period", F.date_format("stat_time", "yyyy"))
+    facts.write.partitionBy("period").parquet(path)
+    maintenance.drop_column(v.spark, path, "entity_id")
+    kept = v.spark.read.parquet(path).drop("period")
+    return longs(kept.select(*sorted(kept.columns)), "key_id")
+
+
 def _rewound(v: Views, grain: str, offset: str) -> DataFrame:
     """Purchases count as late readings of the electricity counter."""
     late = v.readings.filter(F.col("key_id") == 596).join(
@@ -860,3 +984,67 @@ def i2_stream_delta(v: Views) -> DataFrame:
     stream = DeltaStream(fresh_path(v.spark, "deltas"), readings.schema, SERIES)
     stream.start(readings, fresh_path(v.spark, "stream-checkpoint")).awaitTermination()
     return stream.deltas(v.spark).select("event_id", "entity_id", "key_id", "ts", "delta")
+
+
+SLICES = [datetime(2024, 1, 8), datetime(2024, 1, 15), datetime(2024, 1, 23)]
+
+
+def _in_steps(v: Views, rows: DataFrame, late: Column, start: Callable) -> None:
+    """Files appended slice by slice, the late ones with the last; a stream is restarted after each."""
+    raw, checkpoint = fresh_path(v.spark, "raw"), fresh_path(v.spark, "stream-checkpoint")
+    rows = materialise(rows, "raw-rows")
+    bounds = [None, *SLICES, None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = timebucket.half_open(rows, "ts", low, high).filter(~late)
+        part = part if high is not None else part.unionByName(rows.filter(late & (F.col("ts") < timebucket.timestamp_literal(low))))
+        part.write.mode("append").parquet(raw)
+        start(v.spark.readStream.schema(rows.schema).parquet(raw), checkpoint).awaitTermination()
+
+
+@query
+def i2_restarted(v: Views) -> DataFrame:
+    """Steps over four micro-batches, each of a stream that is started anew."""
+    stream = DeltaStream(fresh_path(v.spark, "deltas"), v.readings.schema, SERIES)
+    _in_steps(v, v.readings, F.lit(False), stream.start)
+    return stream.deltas(v.spark).select("event_id", "entity_id", "key_id", "ts", "delta")
+
+
+def _with_late_readings(v: Views, stream: BucketStream, store: StatStore, job: tuple[str, str, dict]) -> None:
+    """A stream to which every ninth reading comes too late, and the job that redoes their buckets."""
+    _in_steps(v, v.readings, F.col("event_id") % 9 == 4, stream.start)
+    estate = Estate(
+        ts_kv=v.ts_kv,
+        device=v.device.withColumn("device_id", F.col("device_id").cast("string")),
+        key_config=v.key_config,
+        param=v.param,
+        key_dictionary=v.key_dictionary,
+        avg_key_config=v.avg_key_config,
+        exclude_factories=EXCLUDED,
+    )
+    rewind(estate, store, stream.late())
+    grain, measure, options = job
+    run_grain(estate, store, grain, measure, AS_OF, **options)
+
+
+@query
+def i1_late_hours(v: Views) -> DataFrame:
+    """Hourly flows kept by a stream in the place of their job; late readings are redone by the job."""
+    store = StatStore(v.spark, fresh_path(v.spark, "stats"), "other_rate")
+    series = rate_series(_others(v).withColumn("device_id", F.col("device_id").cast("string")), v.key_config)
+    stream = BucketStream(fresh_path(v.spark, "buckets"), store, series, "hourly", "hour_latest", "hour", SERIES)
+    _with_late_readings(v, stream, store, ("hour", "other_rate", {}))
+    return _stored_hours(v, store)
+
+
+@query
+def i1_late_days(v: Views) -> DataFrame:
+    """The day's report of instantaneous quantities under the keys of their averages, in the same way."""
+    store = StatStore(v.spark, fresh_path(v.spark, "stats"), "measures")
+    series = average_series(eligible(v).withColumn("device_id", F.col("device_id").cast("string")), v.avg_key_config)
+    stream = BucketStream(
+        fresh_path(v.spark, "buckets"), store, series, "daily", "day_latest", "day", SERIES,
+        day_start=timebucket.DAY_START, extremes=True,
+    )
+    _with_late_readings(v, stream, store, ("day", "rate", {"default_start": datetime(2023, 12, 1)}))
+    columns = [*statistics.FACT_KEY, "dbl_stats", "dbl_min", "dbl_max", "stat_type"]
+    return longs(store.read("daily").select(*columns), "device_id", "key_id", "stat_type")

@@ -38,6 +38,7 @@ KEY_DICTIONARY = [
     (608, "HZ"),
     (612, "Run_State"),
 ]
+VOLUMES = [(626, "water_consumed_volume"), (634, "air_consumed_volume"), (631, "steam_consumed_volume"), (635, "gas_consumed_volume")]
 DEVICE_KEYS = [("E", 1, "C"), ("E", 2, "C"), ("E", 3, "A"), ("E", 4, "A")]
 ELECTRICITY_RATE = [(1, "1911-01-01"), (2, "1997-05-16"), (3, "2000-10-16"), (4, "1999-01-01")]
 RATES = [
@@ -198,6 +199,16 @@ class Views:
     def key_dictionary(self) -> DataFrame:
         return self._rows(KEY_DICTIONARY, "key_id int, key string")
 
+    @cached_property
+    def volumes(self) -> DataFrame:
+        """The dictionary with the names that months of the other utilities look for."""
+        names = [(k, n) for k, n in KEY_DICTIONARY if k >= 142]
+        return self._rows([*names, *VOLUMES], "key_id int, key string")
+
+    @cached_property
+    def consumed_keys(self) -> DataFrame:
+        return self._rows([("E", 554, "C")], "device_type string, key_id int, key_type string")
+
     @cached_property
     def device_keys(self) -> DataFrame:
         return self._rows(DEVICE_KEYS, "device_type string, key_id int, key_type string")

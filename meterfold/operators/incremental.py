@@ -55,6 +55,16 @@ def advance_watermark(facts: DataFrame, offset: timedelta) -> DataFrame:
     )
 
 
+def marks_of(facts: DataFrame, offset: timedelta) -> DataFrame:
+    """:func:`advance_watermark` with where the facts begin; nothing is left to be redone then."""
+    return (
+        facts.groupBy(*SERIES_KEY)
+        .agg((F.max("stat_time") + F.lit(offset)).alias("latest_stat_time"), F.min("stat_time").alias("first_stat_time"))
+        .withColumn("latest_epoch", ts_to_epoch_ms(F.col("latest_stat_time")))
+        .withColumn("redo_until", F.lit(None).cast("timestamp_ntz"))
+    )
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Insert new rows; of rows already there overwrite only ``columns``.
 
@@ -108,18 +118,27 @@ def target_high_water(target: DataFrame, grain: str, keys: list[str] = SERIES_KE
 
 
 def beyond_high_water(
-    facts: DataFrame, target: DataFrame, grain: str, refresh_open: bool = False, keys: list[str] = SERIES_KEY
+    facts: DataFrame,
+    target: DataFrame,
+    grain: str,
+    refresh_open: bool = False,
+    keys: list[str] = SERIES_KEY,
+    rewound: DataFrame | None = None,
 ) -> DataFrame:
-    """Facts of the periods after the newest one stored; ``refresh_open`` redoes that one too."""
+    """Facts of the periods after the newest one stored; ``refresh_open`` redoes that one too.
+
+    A series in ``rewound`` is redone from the period named there on.
+    """
     stored = target_high_water(target, grain, keys)
     bound = F.col("high_water")
     if refresh_open:
         bound = calendar_bucket(bound, grain) - F.expr("INTERVAL 1 SECOND")
-    return (
-        facts.join(stored, keys, "left")
-        .filter(F.col("high_water").isNull() | (F.col("stat_time") > bound))
-        .drop("high_water")
-    )
+    facts = facts.join(stored, keys, "left")
+    if rewound is not None:
+        back = rewound.select(*keys, (F.col("latest_stat_time") - F.expr("INTERVAL 1 SECOND")).alias("_back"))
+        facts, bound = facts.join(back, keys, "left"), F.least(bound, F.col("_back"))
+        return facts.filter(bound.isNull() | F.col("high_water").isNull() | (F.col("stat_time") > bound)).drop("high_water", "_back")
+    return facts.filter(F.col("high_water").isNull() | (F.col("stat_time") > bound)).drop("high_water")
 
 
 def run_metrics(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

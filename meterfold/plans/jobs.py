@@ -18,6 +18,7 @@ from meterfold.functions.timebucket import (
     DAY_START,
     add_months,
     calendar_bucket,
+    epoch_ms_to_ts,
     production_day,
     timestamp_literal,
     ts_to_epoch_ms,
@@ -27,7 +28,9 @@ from meterfold.operators.incremental import WATERMARK_OFFSET
 from meterfold.operators.series import TELEMETRY
 from meterfold.operators.statistics import CONSUMED_ENERGY_KEY, ENERGY_KEY, TOU_COLUMNS
 from meterfold.operators.tariff import tou_split
+from meterfold.plans.due import LAGGING_SHARE, Due, due_facts, due_readings
 from meterfold.session import materialise
+from meterfold.sources.arrivals import ArrivalLog
 from meterfold.sources.store import SEARCHED, StatStore
 from meterfold.sources.telemetry import (
     ELECTRICITY,
@@ -39,14 +42,16 @@ from meterfold.sources.telemetry import (
     telemetry_values,
 )
 
-# Scans for the fleet start at the watermark that this share of the series has not reached.
-LAGGING_SHARE = 0.05
 
 @dataclass
 class Estate:
-    """Telemetry and the dimensions that describe it."""
+    """Telemetry and the dimensions that describe it.
 
-    ts_kv: DataFrame
+    With ``arrivals`` the jobs read telemetry from that log, by what has arrived since their last
+    run; without it they read ``ts_kv``, by time alone.
+    """
+
+    ts_kv: DataFrame | None
     device: DataFrame
     key_config: DataFrame
     param: DataFrame
@@ -56,6 +61,7 @@ class Estate:
     electricity_rate: DataFrame | None = None
     energy_charge: DataFrame | None = None
     date_column: str | None = None
+    arrivals: ArrivalLog | None = None
     exclude_factories: tuple[str, ...] = EXCLUDED_FACTORIES
 
 
@@ -159,10 +165,12 @@ def _read_series(estate: Estate, devices: DataFrame, role: str) -> DataFrame:
 
 
 def _telemetry(
-    estate: Estate, store: StatStore, devices: DataFrame, role: str, table: str, grain: str, shift=timedelta(0)
-) -> tuple[DataFrame, tuple[DataFrame, DataFrame]]:
-    """Readings from the watermarks on, and what :func:`_mark_searched` needs of them."""
+    estate: Estate, store: StatStore, job: str, devices: DataFrame, role: str, table: str, grain: str, shift=timedelta(0)
+) -> Due:
+    """Readings from the watermarks on."""
     series = _read_series(estate, devices, role)
+    if estate.arrivals is not None:
+        return due_readings(estate.arrivals, store, job, table, series, grain, shift)
     latest = store.read(table)
     values = _from_watermarks(
         series.drop("reading_key"),
@@ -173,7 +181,17 @@ def _telemetry(
         "entity_id",
         shift,
     )
-    return values, (series, values)
+    return Due(values, None, [lambda: _mark_searched(store, table, series, values)])
+
+
+def _moved(devices: DataFrame, due: Due) -> DataFrame:
+    """The devices whose facts are there from their watermark on."""
+    return devices.join(due.series.select("device_id"), "device_id", "left_semi")
+
+
+def _due(devices: DataFrame, due: Due) -> DataFrame:
+    """The devices whose readings are there from their watermark on; others must not be derived from a part."""
+    return devices if due.series is None else devices.join(due.series.select("entity_id"), "entity_id", "left_semi")
 
 
 def _still_silent(
@@ -192,7 +210,8 @@ def _still_silent(
     until = marks.agg(F.max("_begin").alias("t")).first()["t"]
     if until is None:
         return searched
-    begins = _values(estate, None, until).groupBy("entity_id", F.col("key_id").alias("reading_key")).agg(F.min("ts").alias("_first"))
+    values = _values(estate, None, until).join(marks.select("entity_id"), "entity_id", "left_semi")
+    begins = values.groupBy("entity_id", F.col("key_id").alias("reading_key")).agg(F.min("ts").alias("_first"))
     back = marks.join(begins, ["entity_id", "reading_key"]).filter(F.col("_first") < F.col("_begin"))
     return searched.join(back.select(*incremental.SERIES_KEY), incremental.SERIES_KEY, "left_anti")
 
@@ -220,10 +239,70 @@ def _mark_searched(store: StatStore, table: str, series: DataFrame, values: Data
 
 
 def _facts(
-    store: StatStore, table: str, estate: Estate, devices: DataFrame, latest: DataFrame, grain: str
-) -> DataFrame:
+    store: StatStore, job: str, source: str, source_marks: str, estate: Estate, devices: DataFrame, table: str, grain: str, shift=timedelta(0)
+) -> Due:
     series = _series(devices, _keys(estate, "consumption"))
-    return _from_watermarks(series, latest, None, grain, lambda a, b: store.read(table, a, b), "device_id")
+    return due_facts(store, job, source, source_marks, table, series, grain, shift)
+
+
+def _counter_since_marks(estate: Estate, store: StatStore, devices: DataFrame, waiting: DataFrame | None) -> Due:
+    """Electricity counters of the due meters from the watermarks on, each with the reading before.
+
+    That reading is kept with the watermark. Of a meter whose watermark was rewound it is looked up
+    on the date of the last fact before, which is where it lies; of one whose watermark was set from
+    outside, and has no facts, on the dates since its first reading.
+    """
+    log, begin = estate.arrivals, F.col("begin")
+
+    def meters(chosen: DataFrame) -> DataFrame:
+        keys = {"key_id": F.lit(ENERGY_KEY), "reading_key": F.lit(ENERGY_KEY)}
+        return chosen.select("device_id", "device_type", "entity_id").withColumns(keys)
+
+    held = None if waiting is None else meters(waiting)
+    found = due_readings(log, store, "minute_electricity", "minute_latest", meters(devices), "minute", held=held)
+    found.rows = found.rows.filter(F.col("key_id") == ENERGY_KEY)
+    if found.series is None:
+        return found
+    marks = store.read("minute_latest").filter(F.col("key_id") == ENERGY_KEY).drop("key_id")
+    due = found.series.filter(~F.col("new")).join(devices.select("device_id", "device_type", "entity_id"), "entity_id")
+    due = materialise(due.join(marks, ["device_id", "device_type"]), "job-meters")
+    at = epoch_ms_to_ts(F.col("carry_ms"))
+    carried = due.filter((F.col("carry_ms") >= 0) & (at < begin)).select(
+        "entity_id", F.lit(ENERGY_KEY).alias("key_id"), F.col("carry_ms").alias("ts_ms"), at.alias("ts"), F.col("carry_value").alias("value")
+    )
+    needy = due.filter(F.col("carry_ms").isNull()).select("entity_id", "device_id", "device_type", "begin")
+    latest = needy.agg(F.max("begin")).first()[0]
+    if latest is not None:
+        facts = store.read("minutely", before=latest + timedelta(days=1)).filter(F.col("key_id") == CONSUMED_ENERGY_KEY)
+        facts = facts.join(needy, ["device_id", "device_type"]).filter(F.col("stat_time") < begin)
+        last = facts.groupBy("entity_id").agg(F.max("stat_time").alias("t"))
+        newest = log.newest()
+        first = log.seen(newest).filter(F.col("key_id") == ENERGY_KEY).select("entity_id", epoch_ms_to_ts(F.col("first_ms")).alias("f"))
+        # without a fact before, nothing says where in between it is
+        days = F.when(F.col("t").isNotNull(), F.array(F.to_date("t"))).otherwise(F.sequence(F.to_date("f"), F.to_date("begin")))
+        spans = needy.join(last, "entity_id", "left").join(first, "entity_id").filter("f < begin").select(F.explode(days).alias("d"))
+        dates = sorted(r["d"] for r in spans.distinct().collect())
+        older = log.values(newest, end=latest, dates=dates).filter(F.col("key_id") == ENERGY_KEY)
+        older = older.join(needy.select("entity_id", "begin"), "entity_id").filter(F.col("ts") < begin)
+        before = older.groupBy("entity_id", "key_id").agg(
+            F.max("ts_ms").alias("ts_ms"), F.max("ts").alias("ts"), F.max_by("value", "ts_ms").alias("value")
+        )
+        carried = carried.unionByName(before)
+    found.rows = found.rows.unionByName(carried.select(*found.rows.columns))
+    return found
+
+
+def _carried(values: DataFrame, devices: DataFrame, marks: DataFrame) -> DataFrame:
+    """Add to ``marks`` each meter's last reading before the minute its watermark lies in."""
+    minute = F.date_trunc("minute", "latest_stat_time").cast("timestamp_ntz")
+    bounds = marks.join(devices.select("device_id", "device_type", "entity_id"), ["device_id", "device_type"])
+    earlier = values.join(bounds.select("entity_id", "device_id", "device_type", minute.alias("_bound")), "entity_id")
+    last = (
+        earlier.filter(F.col("ts") < F.col("_bound"))
+        .groupBy("device_id", "device_type")
+        .agg(F.max("ts_ms").alias("carry_ms"), F.max_by("value", "ts_ms").alias("carry_value"))
+    )
+    return marks.join(last, ["device_id", "device_type"], "left").withColumn("carry_ms", F.coalesce("carry_ms", F.lit(-1)))
 
 
 def _counter_with_baseline(estate: Estate, devices: DataFrame, latest: DataFrame) -> DataFrame:
@@ -292,17 +371,26 @@ def minute_electricity(
     A device without a watermark is not due. ``stale_after=None`` takes every device.
     """
     began, store = time.monotonic(), store.owned_by("electricity")
-    devices = _eligible(estate, types=ELECTRICITY)
-    latest = store.read("minute_latest")
+    meters, waiting = _eligible(estate, types=ELECTRICITY), None
+    devices, latest = meters, store.read("minute_latest")
     if stale_after is not None:
-        devices = stale_devices(devices, latest, ENERGY_KEY, as_of, stale_after).drop("latest_stat_time")
-    values = _counter_with_baseline(estate, devices, latest)
-    facts = statistics.minute_electricity(values, devices, estate.param, latest, TELEMETRY, param_name)
+        devices = stale_devices(meters, latest, ENERGY_KEY, as_of, stale_after).drop("latest_stat_time")
+        if estate.arrivals is not None:
+            # who is due is settled before the watermarks move
+            devices = materialise(devices, "job-due")
+            waiting = meters.join(devices.select("device_id"), "device_id", "left_anti")
+    if estate.arrivals is not None:
+        due = _counter_since_marks(estate, store, devices, waiting)
+    else:
+        due = Due(_counter_with_baseline(estate, devices, latest))
+    facts = statistics.minute_electricity(due.rows, _due(devices, due), estate.param, latest, TELEMETRY, param_name)
     stored, metrics = store.upsert("minutely", facts, ["dbl_stats", "kgco2e"])
-    marks = incremental.advance_watermark(
-        stored.withColumn("key_id", F.lit(ENERGY_KEY)), WATERMARK_OFFSET["minute_electricity"]
-    )
+    offset = WATERMARK_OFFSET["minute_electricity"]
+    marks = incremental.marks_of(stored.withColumn("key_id", F.lit(ENERGY_KEY)), offset)
+    if estate.arrivals is not None:
+        marks = materialise(_carried(due.rows, devices, marks), "job-marks")
     store.advance("minute_latest", marks)
+    due.done()
     return _finish("minute_electricity", began, metrics)
 
 
@@ -315,34 +403,34 @@ def _run(
     latest_table: str | None,
     offset: timedelta | None,
     write: Callable | None = None,
-    searched: tuple[DataFrame, DataFrame] | None = None,
+    due: Due | None = None,
 ) -> Run:
-    """Store facts, then the watermarks, then how far was searched for series that have none."""
+    """Store facts, then the watermarks, then what the job has looked at."""
     began = time.monotonic()
     stored, metrics = (write or store.upsert)(table, facts, columns)
     if latest_table is not None:
-        store.advance(latest_table, incremental.advance_watermark(stored, offset))
-    if searched is not None:
-        _mark_searched(store, latest_table, *searched)
+        store.advance(latest_table, incremental.marks_of(stored, offset))
+    if due is not None:
+        due.done()
     return _finish(job, began, metrics)
 
 
 def minute_other(estate: Estate, store: StatStore, as_of: datetime) -> Run:
     store = store.owned_by("other")
     devices, latest = _eligible(estate, exclude_types=ELECTRICITY), store.read("minute_latest")
-    values, searched = _telemetry(estate, store, devices, "consumption", "minute_latest", "minute")
-    facts = statistics.minute_other(values, devices, estate.key_config, estate.param, latest, TELEMETRY)
+    due = _telemetry(estate, store, "minute_other", devices, "consumption", "minute_latest", "minute")
+    facts = statistics.minute_other(due.rows, _due(devices, due), estate.key_config, estate.param, latest, TELEMETRY)
     columns = ["dbl_stats", "kgco2e"]
-    return _run("minute_other", store, "minutely", facts, columns, "minute_latest", WATERMARK_OFFSET["minute"], None, searched)
+    return _run("minute_other", store, "minutely", facts, columns, "minute_latest", WATERMARK_OFFSET["minute"], None, due)
 
 
 def hour_electricity(estate: Estate, store: StatStore, as_of: datetime) -> Run:
     store = store.owned_by("electricity")
     devices, latest = _eligible(estate, types=ELECTRICITY), store.read("hour_latest")
-    values, searched = _telemetry(estate, store, devices, "consumption", "hour_latest", "hour")
+    due = _telemetry(estate, store, "hour_electricity", devices, "consumption", "hour_latest", "hour")
     facts = statistics.hour_electricity(
-        values,
-        devices,
+        due.rows,
+        _due(devices, due),
         estate.key_config,
         estate.param,
         estate.electricity_rate,
@@ -351,45 +439,45 @@ def hour_electricity(estate: Estate, store: StatStore, as_of: datetime) -> Run:
         TELEMETRY,
     )
     columns = ["dbl_stats", "charge", "period_type", "kgco2e"]
-    return _run("hour_electricity", store, "hourly", facts, columns, "hour_latest", WATERMARK_OFFSET["hour"], None, searched)
+    return _run("hour_electricity", store, "hourly", facts, columns, "hour_latest", WATERMARK_OFFSET["hour"], None, due)
 
 
 def hour_other(estate: Estate, store: StatStore, as_of: datetime) -> Run:
     store = store.owned_by("other")
     devices, latest = _eligible(estate, exclude_types=ELECTRICITY), store.read("hour_latest")
-    minutely = _facts(store, "minutely", estate, devices, latest, "hour")
-    facts = statistics.hour_other(minutely, devices, estate.key_config, latest)
+    due = _facts(store, "hour_other", "minutely", "minute_latest", estate, devices, "hour_latest", "hour")
+    facts = statistics.hour_other(due.rows, _moved(devices, due), estate.key_config, latest)
     columns = ["dbl_stats", "dbl_avg", "dbl_min", "dbl_max", "kgco2e"]
-    return _run("hour_other", store, "hourly", facts, columns, "hour_latest", WATERMARK_OFFSET["hour"])
+    return _run("hour_other", store, "hourly", facts, columns, "hour_latest", WATERMARK_OFFSET["hour"], None, due)
 
 
 def hour_rate_other(estate: Estate, store: StatStore, as_of: datetime) -> Run:
     store = store.owned_by("other_rate")
     devices, latest = _eligible(estate, exclude_types=ELECTRICITY), store.read("hour_latest")
-    values, searched = _telemetry(estate, store, devices, "rate", "hour_latest", "hour")
-    facts = statistics.hour_rate_other(values, devices, estate.key_config, latest, TELEMETRY)
-    return _run("hour_rate_other", store, "hourly", facts, ["dbl_stats"], "hour_latest", WATERMARK_OFFSET["hour"], None, searched)
+    due = _telemetry(estate, store, "hour_rate_other", devices, "rate", "hour_latest", "hour")
+    facts = statistics.hour_rate_other(due.rows, _due(devices, due), estate.key_config, latest, TELEMETRY)
+    return _run("hour_rate_other", store, "hourly", facts, ["dbl_stats"], "hour_latest", WATERMARK_OFFSET["hour"], None, due)
 
 
 def day_profile(estate: Estate, store: StatStore, as_of: datetime) -> Run:
     """The day's average and extremes; its watermark is advanced by :func:`day_consumption`."""
     store = store.owned_by("consumption")
     devices, latest = _eligible(estate), store.read("day_latest")
-    hourly = _facts(store, "hourly", estate, devices, latest, "day")
-    facts = statistics.day_profile(hourly, devices, estate.key_config, latest)
+    due = _facts(store, "day_profile", "hourly", "hour_latest", estate, devices, "day_latest", "day", DAY_START)
+    facts = statistics.day_profile(due.rows, _moved(devices, due), estate.key_config, latest)
     columns = ["dbl_avg", "dbl_min", "dbl_max", "long_stats", "long_avg", "long_min", "long_max"]
-    return _run("day_profile", store, "daily", facts, columns, None, None)
+    return _run("day_profile", store, "daily", facts, columns, None, None, None, due)
 
 
 def day_consumption(estate: Estate, store: StatStore, as_of: datetime) -> Run:
     store = store.owned_by("consumption")
     devices, latest = _eligible(estate), store.read("day_latest")
-    values, searched = _telemetry(estate, store, devices, "consumption", "day_latest", "day", DAY_START)
+    due = _telemetry(estate, store, "day_consumption", devices, "consumption", "day_latest", "day", DAY_START)
     facts = statistics.day_consumption(
-        values, devices, estate.key_config, estate.param, latest, TELEMETRY
+        due.rows, _due(devices, due), estate.key_config, estate.param, latest, TELEMETRY
     )
     columns, offset = ["dbl_stats", "kgco2e"], WATERMARK_OFFSET["day"]
-    return _run("day_consumption", store, "daily", facts, columns, "day_latest", offset, store.update_only, searched)
+    return _run("day_consumption", store, "daily", facts, columns, "day_latest", offset, store.update_only, due)
 
 
 def day_tou(estate: Estate, store: StatStore, as_of: datetime, since: datetime | None = None) -> Run:
@@ -398,19 +486,19 @@ def day_tou(estate: Estate, store: StatStore, as_of: datetime, since: datetime |
     The job has watermarks of its own, as it may run at other times than the day's consumption.
     """
     store = store.owned_by("consumption")
-    latest = store.read("tou_latest")
+    latest, due = store.read("tou_latest"), None
     if since is not None:
         hours = store.read("hourly", since).filter(F.col("key_id") == CONSUMED_ENERGY_KEY)
         hours = hours.filter(production_day(F.col("stat_time")) >= timestamp_literal(since))
     else:
         meters = _series(_eligible(estate, types=ELECTRICITY), _keys(estate, "consumption"))
         meters = meters.filter(F.col("key_id") == CONSUMED_ENERGY_KEY)
-        hours = _from_watermarks(
-            meters, latest, None, "day", lambda a, b: store.read("hourly", a, b), "device_id", DAY_START
-        ).filter(F.col("key_id") == CONSUMED_ENERGY_KEY)
+        due = due_facts(store, "day_tou", "hourly", "hour_latest", "tou_latest", meters, "day", DAY_START)
+        hours = due.rows.filter(F.col("key_id") == CONSUMED_ENERGY_KEY)
+        hours = hours.join(due.series.select(*incremental.SERIES_KEY), incremental.SERIES_KEY, "left_semi")
         hours = incremental.since_watermark(hours, latest, "stat_time", strict=True)
     shares, offset = tou_split(hours), WATERMARK_OFFSET["day"]
-    return _run("day_tou", store, "daily", shares, TOU_COLUMNS, "tou_latest", offset, store.update_only)
+    return _run("day_tou", store, "daily", shares, TOU_COLUMNS, "tou_latest", offset, store.update_only, due)
 
 
 def day_rate(
@@ -418,9 +506,10 @@ def day_rate(
 ) -> Run:
     store = store.owned_by("measures")
     devices, latest = _eligible(estate), store.read("day_latest")
+    due = _measures(estate, store, devices, latest, default_start)
     facts = statistics.day_rate(
-        _measures(estate, devices, latest, default_start),
-        devices,
+        due.rows,
+        _due(devices, due),
         estate.avg_key_config,
         estate.key_dictionary,
         latest,
@@ -428,15 +517,31 @@ def day_rate(
         default_start=default_start,
     )
     columns = ["dbl_stats", "dbl_min", "dbl_max"]
-    return _run("day_rate", store, "daily", facts, columns, "day_latest", WATERMARK_OFFSET["day"])
-
-
-def _measures(estate: Estate, devices: DataFrame, latest: DataFrame, default_start: datetime) -> DataFrame:
-    """Instantaneous values from each device's oldest average on; from the default for one that has none."""
+    return _run("day_rate", store, "daily", facts, columns, "day_latest", WATERMARK_OFFSET["day"], None, due)
+
+
+def _measures(estate: Estate, store: StatStore, devices: DataFrame, latest: DataFrame, default_start: datetime) -> Due:
+    """Instantaneous values from each average's watermark on; from the default for one that has none."""
+    names = statistics.ELECTRICITY_MEASURES + statistics.FLOW_RATES
+    if estate.arrivals is not None:
+        named = estate.key_dictionary.filter(F.col("key").isin(*names)).select(F.col("key_id").alias("rate_key_id"))
+        # a configuration table: a handful of rows
+        keys = estate.avg_key_config.join(named, "rate_key_id").select("avg_key_id", "rate_key_id").collect()
+        pairs = F.array(*[F.struct(F.lit(k["avg_key_id"]).alias("key_id"), F.lit(k["rate_key_id"]).alias("reading_key")) for k in keys])
+        series = devices.select("device_id", "device_type", "entity_id", F.explode(pairs).alias("_keys")).select(
+            "device_id", "device_type", "entity_id", "_keys.*"
+        )
+        due = due_readings(
+            estate.arrivals, store, "day_rate", "day_latest", series, "day", DAY_START, unseen_since=default_start
+        )
+        if due.series is not None:
+            # a device may have one average due and another not: only due ones are derived
+            due.rows = due.rows.join(due.series.select("entity_id", "key_id"), ["entity_id", "key_id"], "left_semi")
+        return due
     averages = latest.join(estate.avg_key_config.select(F.col("avg_key_id").alias("key_id")), "key_id", "left_semi")
     oldest = averages.groupBy("device_id", "device_type").agg(F.min("latest_stat_time").alias("latest_stat_time"))
     every = F.lit(0).alias("key_id")
-    return _from_watermarks(
+    values = _from_watermarks(
         devices.select("device_id", "device_type", "entity_id", every),
         oldest.select("device_id", "device_type", every, "latest_stat_time"),
         None,
@@ -446,15 +551,16 @@ def _measures(estate: Estate, devices: DataFrame, latest: DataFrame, default_sta
         DAY_START,
         unseen_since=default_start,
     )
+    return Due(values)
 
 
 def day_rate_other(estate: Estate, store: StatStore, as_of: datetime) -> Run:
     store = store.owned_by("other_rate")
     devices, latest = _eligible(estate, exclude_types=ELECTRICITY), store.read("day_latest")
-    values, searched = _telemetry(estate, store, devices, "rate", "day_latest", "day")
-    facts = statistics.day_rate_other(values, devices, estate.key_config, latest, TELEMETRY)
+    due = _telemetry(estate, store, "day_rate_other", devices, "rate", "day_latest", "day")
+    facts = statistics.day_rate_other(due.rows, _due(devices, due), estate.key_config, latest, TELEMETRY)
     offset = WATERMARK_OFFSET["calendar_day"]
-    return _run("day_rate_other", store, "daily", facts, ["dbl_stats"], "day_latest", offset, None, searched)
+    return _run("day_rate_other", store, "daily", facts, ["dbl_stats"], "day_latest", offset, None, due)
 
 
 def _of_devices(facts: DataFrame, devices: DataFrame) -> DataFrame:
@@ -466,13 +572,34 @@ def _rolled_keys(estate: Estate) -> DataFrame:
     return estate.key_dictionary.filter(F.col("key").isin(*names)).select("key_id")
 
 
-def _open_periods(store: StatStore, source: str, target: str, devices: DataFrame, keys: DataFrame) -> DataFrame:
-    """Facts of the periods that may still be missing or open, by device.
+REWOUND = {"monthly": "month_rewound", "yearly": "year_rewound"}
+
+
+def _rewound(store: StatStore, target: str, devices: DataFrame) -> DataFrame:
+    """From which stored period on the devices' series have to be redone."""
+    back = store.read(REWOUND[target]).filter("latest_stat_time is not null")
+    return materialise(back.join(devices.select("device_id"), "device_id", "left_semi"), f"job-{REWOUND[target]}")
+
+
+def _redone(store: StatStore, target: str, rewound: DataFrame) -> None:
+    """Take back what :func:`_rewound` gave, once it is stored."""
+    if rewound.limit(1).collect():
+        none = {"latest_stat_time": F.lit(None).cast("timestamp_ntz"), "latest_epoch": F.lit(None).cast("bigint")}
+        store.advance(REWOUND[target], rewound.withColumns(none))
+
+
+def _open_periods(
+    store: StatStore, source: str, target: str, devices: DataFrame, keys: DataFrame, rewound: DataFrame
+) -> DataFrame:
+    """Facts of the periods that may still be missing or open, or are to be redone, by device.
 
     The fleet is read from its newest stored period on; devices behind it, or with one of ``keys``
     that is not stored yet, from the beginning.
     """
-    stored = store.read(target).groupBy(*incremental.SERIES_KEY).agg(F.max("stat_time").alias("latest_stat_time"))
+    stored = store.read(target).select(*incremental.SERIES_KEY, "stat_time")
+    stored = stored.groupBy(*incremental.SERIES_KEY).agg(F.max("stat_time").alias("latest_stat_time"))
+    back = rewound.select(*incremental.SERIES_KEY, F.col("latest_stat_time").alias("_back"))
+    stored = stored.join(back, incremental.SERIES_KEY, "left").withColumn("latest_stat_time", F.least("latest_stat_time", "_back")).drop("_back")
     rolled = store.read("day_latest").select(*incremental.SERIES_KEY).join(keys.select("key_id"), "key_id", "left_semi")
     series = rolled.distinct().join(devices.select("device_id"), "device_id", "left_semi")
     grain = {"monthly": "month", "yearly": "year"}[target]
@@ -483,11 +610,13 @@ def month_electricity(estate: Estate, store: StatStore, as_of: datetime, refresh
     """Months after the newest one stored; ``refresh_open`` redoes that one as well."""
     store = store.owned_by("electricity")
     devices = _eligible(estate, types=ELECTRICITY)
-    daily = _of_devices(_open_periods(store, "daily", "monthly", devices, estate.device_keys), devices)
+    rewound = _rewound(store, "monthly", devices)
+    daily = _of_devices(_open_periods(store, "daily", "monthly", devices, estate.device_keys, rewound), devices)
     months = statistics.period_electricity(daily, estate.device_keys, "month").drop("long_stats")
-    facts = incremental.beyond_high_water(months, store.read("monthly"), "month", refresh_open)
-    if refresh_open:
-        return _run("month_electricity", store, "monthly", facts, ["dbl_stats", *TOU_COLUMNS, "kgco2e"], None, None)
+    facts = incremental.beyond_high_water(months, store.read("monthly"), "month", refresh_open, rewound=rewound)
+    redo = Due(facts, None, [lambda: _redone(store, "monthly", rewound)])
+    if refresh_open or rewound.limit(1).collect():
+        return _run("month_electricity", store, "monthly", facts, ["dbl_stats", *TOU_COLUMNS, "kgco2e"], None, None, None, redo)
 
     def insert(table: str, rows: DataFrame, columns: list[str]):
         return store.insert_only(table, rows)
@@ -498,29 +627,35 @@ def month_electricity(estate: Estate, store: StatStore, as_of: datetime, refresh
 def month_other(estate: Estate, store: StatStore, as_of: datetime, refresh_open: bool = False) -> Run:
     devices = eligible_devices(estate.device, types=OTHER_UTILITIES, exclude_factories=())
     store = store.owned_by("other")
-    daily = _of_devices(_open_periods(store, "daily", "monthly", devices, _rolled_keys(estate)), devices)
+    rewound = _rewound(store, "monthly", devices)
+    daily = _of_devices(_open_periods(store, "daily", "monthly", devices, _rolled_keys(estate), rewound), devices)
     months = statistics.period_other(daily, estate.key_dictionary, "month")
-    facts = incremental.beyond_high_water(months, store.read("monthly"), "month", refresh_open)
-    return _run("month_other", store, "monthly", facts, ["long_stats", "dbl_stats", "kgco2e"], None, None)
+    facts = incremental.beyond_high_water(months, store.read("monthly"), "month", refresh_open, rewound=rewound)
+    redo = Due(facts, None, [lambda: _redone(store, "monthly", rewound)])
+    return _run("month_other", store, "monthly", facts, ["long_stats", "dbl_stats", "kgco2e"], None, None, None, redo)
 
 
 def year_electricity(estate: Estate, store: StatStore, as_of: datetime, refresh_open: bool = False) -> Run:
     devices = eligible_devices(estate.device, types=ELECTRICITY, exclude_factories=())
     store = store.owned_by("electricity")
-    monthly = _of_devices(_open_periods(store, "monthly", "yearly", devices, estate.device_keys), devices)
+    rewound = _rewound(store, "yearly", devices)
+    monthly = _of_devices(_open_periods(store, "monthly", "yearly", devices, estate.device_keys, rewound), devices)
     years = statistics.period_electricity(monthly, estate.device_keys, "year")
-    facts = incremental.beyond_high_water(years, store.read("yearly"), "year", refresh_open)
+    facts = incremental.beyond_high_water(years, store.read("yearly"), "year", refresh_open, rewound=rewound)
     columns = ["long_stats", "dbl_stats", *TOU_COLUMNS, "kgco2e"]
-    return _run("year_electricity", store, "yearly", facts, columns, None, None)
+    redo = Due(facts, None, [lambda: _redone(store, "yearly", rewound)])
+    return _run("year_electricity", store, "yearly", facts, columns, None, None, None, redo)
 
 
 def year_other(estate: Estate, store: StatStore, as_of: datetime, refresh_open: bool = False) -> Run:
     devices = eligible_devices(estate.device, types=OTHER_UTILITIES, exclude_factories=())
     store = store.owned_by("other")
-    monthly = _of_devices(_open_periods(store, "monthly", "yearly", devices, _rolled_keys(estate)), devices)
+    rewound = _rewound(store, "yearly", devices)
+    monthly = _of_devices(_open_periods(store, "monthly", "yearly", devices, _rolled_keys(estate), rewound), devices)
     years = statistics.period_other(monthly, estate.key_dictionary, "year")
-    facts = incremental.beyond_high_water(years, store.read("yearly"), "year", refresh_open)
-    return _run("year_other", store, "yearly", facts, ["long_stats", "dbl_stats", "kgco2e"], None, None)
+    facts = incremental.beyond_high_water(years, store.read("yearly"), "year", refresh_open, rewound=rewound)
+    redo = Due(facts, None, [lambda: _redone(store, "yearly", rewound)])
+    return _run("year_other", store, "yearly", facts, ["long_stats", "dbl_stats", "kgco2e"], None, None, None, redo)
 
 
 # The jobs of each scheduled run, in order: a day's profile comes before its consumption.

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and benchmarks; on a cluster the submitter's settings apply."""
+    """A session for tests and benchmarks; on a cluster the submitter's settings apply.
+
+    All of it runs on one machine, so where no checkpoint folder is set a temporary one will do.
+    """
+    builder = SparkSession.builder
+    if SparkConf().get("spark.checkpoint.dir") is None:
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="meterfold-"))
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("meterfold")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
@@ -29,24 +37,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
-def is_local(spark: SparkSession) -> bool:
-    """Whether driver and tasks share one machine; ``local-cluster`` has executors of its own."""
-    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only for a local master without it.
-
-    Executors of a cluster do not see the driver's temporary folder, so there the setting is required.
-    """
+    """The cluster's checkpoint folder, which the driver and all executors share."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not is_local(spark):
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    fallback = tempfile.mkdtemp(prefix="meterfold-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return configured.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -69,6 +65,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """:func:`materialise` for as long as a block runs; the copy is deleted when the block is done."""
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.mode("errorifexists").parquet(path)
+    yield spark.read.schema(df.schema).parquet(path)
+    discard(spark, path)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder of the library's own below the shared one."""
     if "/meterfold/" not in path:

@@ -35,6 +35,13 @@ ENERGY_CHARGE = _struct(
     non_summer_rate=_DOUBLE,
 )
 LATEST = _struct(device_id=_STRING, device_type=_STRING, key_id=_INT, latest_stat_time=_TS, latest_epoch=_LONG)
+# A stored watermark: where its facts begin, up to where a rewound one has to be redone, and of a
+# counter the reading before its bucket (`carry_ms` is -1 where there is none).
+MARK = T.StructType([*LATEST.fields, *_struct(first_stat_time=_TS, redo_until=_TS, carry_ms=_LONG, carry_value=_DOUBLE).fields])
+# Which owner writes a measure of a fact table, and up to which load or source a job has worked.
+CLAIM = _struct(fact_table=_STRING, device_type=_STRING, key_id=_INT)
+PROGRESS = _struct(job=_STRING, arrival=_LONG)
+SOURCE = T.StructType([T.StructField("job", _STRING), *LATEST.fields])
 
 _KEY = dict(device_type=_STRING, device_id=_STRING, key_id=_INT, stat_time=_TS, stat_type=_INT, dbl_stats=_DOUBLE)
 _SPREAD = dict(dbl_avg=_DOUBLE, dbl_min=_DOUBLE, dbl_max=_DOUBLE)

@@ -14,30 +14,26 @@ from pyspark.sql.streaming import StreamingQuery
 
 from meterfold.operators.consumption import reading_delta
 from meterfold.operators.series import Series
-from meterfold.session import materialise, read_or_empty
+from meterfold.session import passing, read_or_empty
 
-BATCH, BUCKET = "batch_id", "bucket"
-STATE_BUCKETS = 16
+BATCH = "batch_id"
+# After so many batches what they left behind is put together.
+SNAPSHOT_EVERY = 16
 
 
 class DeltaStream:
     """Steps, late readings and state below one folder.
 
-    The state keeps the last reading of each series and the one it replaced, with the batch
-    that wrote it. A batch that is run again finds its own mark and uses the reading before,
-    so output and state come out the same however often it is repeated.
+    The state is the last reading of each series. A batch adds the last readings of the series it
+    holds, as a part of its own, and reads the parts of the batches before it back to the newest
+    snapshot; so what a batch writes depends on its own size, and a batch that is run again finds
+    the state as it was and replaces what it wrote.
     """
 
     def __init__(self, root: str, schema: T.StructType, s: Series = Series(), slice_grain: str = "hour"):
         self.root, self.schema, self.s, self.slice_grain = root.rstrip("/"), schema, s, slice_grain
-        key_fields = [schema[k] for k in s.keys]
-        kept = [schema[c] for c in dict.fromkeys([s.ts, s.order, s.value])]
-        self.kept = [f.name for f in kept]
-        self.state_schema = T.StructType(
-            key_fields
-            + [T.StructField(f"{when}_{f.name}", f.dataType) for when in ("last", "prev") for f in kept]
-            + [T.StructField(BATCH, T.LongType()), T.StructField(BUCKET, T.IntegerType())]
-        )
+        self.kept = list(dict.fromkeys([s.ts, s.order, s.value]))
+        self.state_schema = T.StructType([*[schema[c] for c in (*s.keys, *self.kept)], T.StructField(BATCH, T.LongType())])
 
     def start(self, readings: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         """Process the stream; ``trigger`` is Spark's, by default one pass over what is available."""
@@ -72,42 +68,37 @@ class DeltaStream:
             .parquet(f"{self.root}/{part}")
         )
 
+    def _state_before(self, spark, batch_id: int) -> DataFrame:
+        """The last reading of every series in the batches before one."""
+        snapshots = self._read(spark, "snapshots", self.state_schema).filter(F.col(BATCH) < batch_id)
+        newest = snapshots.agg(F.max(BATCH)).first()[0]
+        parts = self._read(spark, "state", self.state_schema).filter(F.col(BATCH) < batch_id)
+        if newest is not None:
+            parts = parts.filter(F.col(BATCH) > newest).unionByName(snapshots.filter(F.col(BATCH) == newest))
+        return self._newest(parts)
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.s.keys).agg(*[self.s.last(c).alias(c) for c in self.kept])
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         s, keys = self.s, list(self.s.keys)
-        state = self._read(batch.sparkSession, "state", self.state_schema)
-        own = F.col(BATCH) >= batch_id
-        before = state.select(
-            *keys, *[F.when(own, F.col(f"prev_{c}")).otherwise(F.col(f"last_{c}")).alias(c) for c in self.kept]
-        ).filter(F.col(s.order).isNotNull())
+        before = self._state_before(batch.sparkSession, batch_id)
         # the join spreads a busy series over tasks: Spark splits the skewed side of a left join
         known = before.select(*keys, F.col(s.order).alias("_known"))
-        judged = materialise(
-            batch.join(known, keys, "left").withColumn(
-                "_late", F.col("_known").isNotNull() & (F.col(s.order) <= F.col("_known"))
-            ),
-            "stream-batch",
-        )
-        fresh = judged.filter(~F.col("_late")).drop("_late", "_known")
-        late = judged.filter("_late").drop("_late", "_known")
-        active = before.join(fresh.select(*keys).distinct(), keys, "left_semi")
-        readings = fresh.withColumn("_carried", F.lit(False)).unionByName(
-            active.withColumn("_carried", F.lit(True)), allowMissingColumns=True
+        judged = batch.join(known, keys, "left").withColumn(
+            "_late", F.col("_known").isNotNull() & (F.col(s.order) <= F.col("_known"))
         )
-        steps = reading_delta(readings, s, slice_grain=self.slice_grain).filter(~F.col("_carried")).drop("_carried")
         number = F.lit(batch_id).cast("bigint").alias(BATCH)
-        self._write(steps.select(*batch.columns, "delta", number), "deltas", BATCH)
-        self._write(late.select(*batch.columns, number), "late", BATCH)
-        self._write(materialise(self._next_state(state, before, fresh, batch_id), "stream-state"), "state", BUCKET)
-
-    def _next_state(self, state: DataFrame, before: DataFrame, fresh: DataFrame, batch_id: int) -> DataFrame:
-        """The state with the series of this batch moved on, all others as they were."""
-        s, keys = self.s, list(self.s.keys)
-        newest = fresh.groupBy(*keys).agg(*[s.last(c).alias(f"last_{c}") for c in self.kept])
-        moved = (
-            newest.join(before.select(*keys, *[F.col(c).alias(f"prev_{c}") for c in self.kept]), keys, "left")
-            .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-            .withColumn(BUCKET, F.pmod(F.hash(*keys), F.lit(STATE_BUCKETS)).cast("int"))
-        )
-        rest = state.join(newest.select(*keys), keys, "left_anti")
-        columns = [f.name for f in self.state_schema.fields]
-        return moved.select(*columns).unionByName(rest.select(*columns))
+        with passing(judged, "stream-batch") as rows:
+            fresh = rows.filter(~F.col("_late")).drop("_late", "_known")
+            late = rows.filter("_late").drop("_late", "_known")
+            active = before.join(fresh.select(*keys).distinct(), keys, "left_semi")
+            readings = fresh.withColumn("_carried", F.lit(False)).unionByName(
+                active.withColumn("_carried", F.lit(True)), allowMissingColumns=True
+            )
+            steps = reading_delta(readings, s, slice_grain=self.slice_grain).filter(~F.col("_carried")).drop("_carried")
+            self._write(steps.select(*batch.columns, "delta", number), "deltas", BATCH)
+            self._write(late.select(*batch.columns, number), "late", BATCH)
+            self._write(self._newest(fresh).select("*", number), "state", BATCH)
+        if batch_id % SNAPSHOT_EVERY == SNAPSHOT_EVERY - 1:
+            self._write(self._state_before(batch.sparkSession, batch_id + 1).select("*", number), "snapshots", BATCH)

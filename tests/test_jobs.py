@@ -197,10 +197,10 @@ def test_open_month_is_refreshed_on_request(spark, estate):
 
 
 def test_insert_only_refuses_a_stored_key(full):
-    again = full.read("monthly").limit(1)
+    again = full.read("monthly").filter("device_type = 'E'").limit(1)
     before = full.read("monthly").count()
     with pytest.raises(DuplicateKeyError):
-        full.insert_only("monthly", again)
+        full.owned_by("electricity").insert_only("monthly", again)
     assert full.read("monthly").count() == before
 
 

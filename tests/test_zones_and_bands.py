@@ -1,8 +1,11 @@
 """Jobs in several time zones, and scans that a lagging or silent meter does not widen."""
 
 import random
+import subprocess
+import sys
 import tempfile
 from datetime import datetime, timedelta
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -12,7 +15,7 @@ from meterfold.functions.timebucket import instant_ms, timestamp_literal, ts_to_
 from meterfold.operators import incremental
 from meterfold.operators.carbon import carbon_by_device_type, carbon_by_param_name
 from meterfold.plans import jobs
-from meterfold.session import is_local, shared_dir
+from meterfold.session import shared_dir
 from meterfold.sources import schemas
 from meterfold.sources.store import StatStore
 from meterfold.streaming.bucket_stats import stream_bucket_stats
@@ -144,8 +147,8 @@ def test_readings_between_the_mark_and_the_start_of_the_day_are_read(spark):
     jobs._mark_searched(store, "day_latest", jobs._read_series(first, first.device.filter("device_id = 'W2'"), "consumption"), jobs._values(first, None))
     assert [r["latest_stat_time"] for r in store.read("day_searched").collect()] == [datetime(2025, 3, 1, 5)]
     both = estate(spark, steady + [("late", 569, datetime(2025, 3, 1, 6), 1.0), ("late", 569, datetime(2025, 3, 1, 9), 4.0)], devices)
-    values, _ = jobs._telemetry(both, store, both.device, "consumption", "day_latest", "day", jobs.DAY_START)
-    assert sorted(r["ts"].hour for r in values.filter("entity_id = 'late'").collect()) == [6, 9]
+    due = jobs._telemetry(both, store, "day_consumption", both.device, "consumption", "day_latest", "day", jobs.DAY_START)
+    assert sorted(r["ts"].hour for r in due.rows.filter("entity_id = 'late'").collect()) == [6, 9]
 
 
 def test_jobs_of_different_owners_keep_each_others_rows(spark):
@@ -191,11 +194,22 @@ def test_rewound_marks_are_the_buckets_own(spark, grain, mark):
     assert incremental.rewind_watermark(latest, late, grain).first()["latest_stat_time"] == mark
 
 
-def test_a_cluster_needs_a_shared_folder():
-    def session(master):
-        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=SimpleNamespace(master=master))
-
-    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
-        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-            shared_dir(session(master))
-    assert is_local(session("local")) and is_local(session("local[*]"))
+def test_a_session_needs_a_shared_folder():
+    """No folder of one machine stands in for it, whatever the master."""
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(bare)
+
+
+def test_a_local_session_without_the_setting_gets_a_folder():
+    script = """
+from pyspark import SparkConf
+SparkConf.get = lambda self, key, default=None: default
+from meterfold.session import local_session, materialise
+spark = local_session(1, 1, "1g")
+assert materialise(spark.range(3), "x").count() == 3
+print("stored")
+"""
+    root = str(Path(__file__).resolve().parent.parent)
+    ran = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=300)
+    assert "stored" in ran.stdout, ran.stderr[-2000:]
