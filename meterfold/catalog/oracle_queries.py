@@ -190,12 +190,12 @@ ORACLES: dict[str, str] = {
     ),
     "a9_drop_logs": """SELECT event_id, CASE WHEN event_type <> 'purchase' THEN 'x|' || upper(event_type) || '|y' END AS str_v
         FROM events WHERE event_type <> 'error'""",
-    "a8_retain_stored": """SELECT event_id, epoch_ms(ts) AS ts,
+    "a8_retain_stored": """SELECT event_id,
         (SELECT count(DISTINCT ts::date) FROM events WHERE ts < TIMESTAMP '2024-01-14 00:00:00') AS dropped,
         (SELECT count(DISTINCT ts::date) FROM events WHERE ts >= TIMESTAMP '2024-01-14 00:00:00' AND ts < TIMESTAMP '2024-01-14 16:00:00')
             AS rewritten
         FROM events WHERE ts >= TIMESTAMP '2024-01-14 16:00:00'""",
-    "a9_drop_logs_stored": """SELECT event_id, epoch_ms(ts) AS ts,
+    "a9_drop_logs_stored": """SELECT event_id,
         CASE WHEN event_type <> 'purchase' THEN 'x|' || upper(event_type) || '|y' END AS str_v FROM events WHERE event_type <> 'error'""",
     "b1_minute": _buckets("date_trunc('minute', ts)", "readings"),
     "b1_hour": _buckets("date_trunc('hour', ts)", "readings"),
@@ -503,7 +503,7 @@ ORACLES: dict[str, str] = {
     "i3_rewind_hour": _rewound("date_trunc('hour', x.ts)", "INTERVAL '3599' SECOND"),
     "i3_rewind_day": _rewound("date_trunc('day', x.ts - INTERVAL '8' HOUR)", PRODUCTION_DAY),
     "i3_rewind_calendar_day": _rewound("date_trunc('day', x.ts)", "INTERVAL '3599' SECOND"),
-    "a1_arrival_log": """SELECT user_id AS entity_id, key_id, epoch_ms(min(ts)) AS first_ms, CAST(min(load) AS BIGINT) AS first_arrival
+    "a1_arrival_log": """SELECT user_id AS entity_id, key_id, min(epoch_us(ts) // 1000) AS first_ms, CAST(min(load) AS BIGINT) AS first_arrival
         FROM (SELECT *, CASE event_type WHEN 'click' THEN 142 WHEN 'view' THEN 569 WHEN 'purchase' THEN 596 WHEN 'signup' THEN 608
                 ELSE 612 END::BIGINT AS key_id,
               CASE WHEN ts < TIMESTAMP '2024-01-17 10:20:30' AND event_id % 9 <> 4 AND user_id % 5 <> 3 THEN 0 ELSE 1 END AS load FROM events) e
