@@ -44,7 +44,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; each stage's result is written to the shared folder and read again."""
+    """All stages on ``documents``; each stage's result is written to the shared folder and read again.
+
+    Rows without id or text pass through like others, one of each repeated row goes on, columns of
+    any name are kept up to the last stage, and an empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
