@@ -145,7 +145,7 @@ def _linked(left: list, right: list | None, kind: str, least_cosine: float, axes
     )
 
 
-def _valid(vectors: DataFrame) -> DataFrame:
+def _valid(vectors: DataFrame, least_cosine: float, axes: int) -> DataFrame:
     """Rows with an id and a finite vector that is not zero, as packed numbers with their first projection."""
     kind = "<f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
 
@@ -162,7 +162,7 @@ def _valid(vectors: DataFrame) -> DataFrame:
                 ids.append(vec_id)
                 raw.append(v.tobytes())
                 dims.append(len(v))
-                cal = calibrated(len(v))
+                cal = calibrated(len(v), least_cosine, axes)
                 cells.append(int(np.floor(float((_unit([raw[-1]], kind) @ cal.axes[0])[0]) * CELLS / cal.first_window)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(raw, pa.binary()), pa.array(dims, pa.int32()), pa.array(cells, pa.int32())],
@@ -192,7 +192,7 @@ def near_duplicates(vectors: DataFrame, least_cosine: float = LEAST_COSINE, axes
     if axes >= 1 << _PLANES:
         raise ValueError(f"fewer than {1 << _PLANES} axes, got {axes}")
     kind = "<f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
-    valid = materialise(_valid(vectors), "vectors")
+    valid = materialise(_valid(vectors, least_cosine, axes), "vectors")
     copies = valid.groupBy("key", "raw", "dims", "cell").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
     copies = materialise(copies, "vector-copies")
     counts = {(r["dims"], r["cell"]): -(-r["n"] // BLOCK) for r in copies.groupBy("dims", "cell").agg(F.count("*").alias("n")).collect()}

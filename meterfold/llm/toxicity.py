@@ -199,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Toxicit
 
     def sample(ids: DataFrame, size: int) -> list[np.ndarray]:
         # ids are chosen before texts are read: at most `size` of them, so they may be broadcast
-        chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size).distinct()
+        chosen = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
         rows = texts.join(F.broadcast(chosen), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
         arrow = rows.orderBy("doc_id").select(_features("text").alias("f")).toArrow()
         return [np.asarray(f.values.to_numpy(), dtype=np.int64).view(np.uint64) for f in arrow["f"]]
@@ -224,7 +224,12 @@ def score_documents(docs: DataFrame, labels: DataFrame, s: Settings = Settings()
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The rows whose whole text scores below the threshold, with all their columns."""
+    """The rows whose whole text scores below the threshold, with all their columns.
+
+    Edge cases: as in :func:`score_documents`; a row without id or text is judged like any other,
+    repeated rows stay or go together, without usable labels (or toxic ones among them) every row
+    stays, and an empty table gives no rows. Columns may have any names, those used here too.
+    """
     model = fit(docs, labels, s)
     rows = docs.select(F.struct("*").alias("row"), model.score(F.col("text")).alias("score"))
     return rows.filter(F.col("score") < s.threshold).select("row.*")

@@ -30,6 +30,16 @@ def test_exact_dedup(docs, corpus):
         assert all(r["doc_id"] == r["keep_id"] for r in rows if r["kept"])
 
 
+@pytest.mark.parametrize("history", ["false", "doc_id = 0", "true"])
+def test_parts_hold_few_digests_whatever_the_history(docs, monkeypatch, history):
+    """A first load, or a short history, does not put all arrivals into one part."""
+    parts, look_up = [], exact.look_up
+    monkeypatch.setattr(exact, "look_up", lambda index, new, n: parts.append(n) or look_up(index, new, n))
+    rows = exact.deduplicate(docs([(i, f"text {i}") for i in range(1500)]), F.expr(history), part_digests=100).collect()
+    assert len(rows) == 1500 and all(r["kept"] for r in rows)
+    assert parts == [15]
+
+
 def test_dropping_copies_keeps_all_columns(docs, corpus):
     df = docs(corpus)
     kept = exact.drop_copies(df)

@@ -88,6 +88,51 @@ def test_toxicity_on_held_out_rows(spark, docs):
     assert toxicity.score_documents(docs(rows), other).collect() == toxicity.score_documents(docs(rows), table.limit(len(labels))).collect()
 
 
+def test_steps_follow_the_gradient_of_the_corrected_risk():
+    """The fit against the same steps with a numerical gradient, through the point where the risk goes negative."""
+    rng = np.random.default_rng(3)
+    width, prior, s = 5, 0.45, toxicity.Settings(steps=40, decay=0.01)
+    toxic = [np.flatnonzero(rng.random(width) < p) for p in (0.9, 0.8, 0.7, 0.9)]
+    clean = [np.flatnonzero(rng.random(width) < 0.2) for _ in range(7)]
+
+    def dense(rows):
+        return np.array([[float(c in r) for c in range(width)] for r in rows])
+
+    x, u = dense(toxic), dense(clean)
+
+    def risks(theta):
+        p, q = (1 / (1 + np.exp(-(m @ theta[:-1] + theta[-1]))) for m in (x, u))
+        called_clean = -np.log(1 - q).mean() + prior * np.log(1 - p).mean()
+        return prior * -np.log(p).mean(), called_clean
+
+    def gradient(f, theta):
+        return np.array([(f(theta + h) - f(theta - h)) / 2e-6 for h in np.eye(width + 1) * 1e-6])
+
+    theta, first, second, negative = np.append(np.zeros(width), np.log(prior / (1 - prior))), 0.0, 0.0, 0
+    for step in range(1, s.steps + 1):
+        if risks(theta)[1] < 0:
+            negative += 1
+            g = -gradient(lambda t: risks(t)[1], theta)
+        else:
+            g = gradient(lambda t: sum(risks(t)), theta)
+        g = g + s.decay * np.append(theta[:-1], 0)
+        first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g**2
+        theta = theta - s.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        theta[:-1] = np.maximum(theta[:-1], 0)
+    weights, bias = toxicity.fit_nnpu(toxicity._Sparse(toxic, width), toxicity._Sparse(clean, width), prior, s)
+    assert 0 < negative < s.steps
+    assert np.allclose(np.append(weights, bias), theta, atol=1e-4)
+
+
+def test_an_id_that_is_repeated_is_one_of_the_sample(spark, docs):
+    """Thousands of rows of one id do not crowd out the others."""
+    rows = [(5, "again")] * 3000 + [(i, f"clean words {i}") for i in range(6, 66)] + [(i, "vile slur") for i in range(100, 130)]
+    labels = spark.createDataFrame([(i, 1, 1) for i in range(100, 130)] + [(i, 1, 0) for i in range(6, 66)], "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(docs(rows), labels, toxicity.Settings(max_toxic=40, max_unlabelled=100))
+    odds = list(model.log_odds(["vile slur", "clean words 7"]))
+    assert odds[0] > odds[1]
+
+
 def test_toxicity_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert [r["predicted"] for r in toxicity.score_documents(docs([(1, "a"), (2, None)]), none).collect()] == [0, 0]
