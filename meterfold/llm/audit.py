@@ -69,9 +69,14 @@ def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _copies(rows: DataFrame) -> DataFrame:
-    """Rows whose text some smaller ``doc_id`` has too. A digest of very many rows is one row on the small side."""
+    """Rows whose text some smaller ``doc_id`` has too.
+
+    A digest of very many rows is one row on the small side. That side is stored first: AQE splits
+    the hot digest only in a join whose sides are shuffled for it.
+    """
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    return rows.join(first.select("digest", "first"), "digest").filter(F.col("doc_id") > F.col("first")).drop("first")
+    first = materialise(first.select("digest", "first"), "audit-copies")
+    return rows.join(first, "digest").filter(F.col("doc_id") > F.col("first")).drop("first")
 
 
 def store_failing_ids(rows: DataFrame) -> DataFrame:
