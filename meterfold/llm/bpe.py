@@ -35,6 +35,9 @@ _LETTERS, _NUMBERS, _WHITE = _of_category("L"), _of_category("N"), "\\t\\n\\x0b\
 _BEYOND = re.compile(f"[^\\x00-\\u{_LATIN_END - 1:04x}]")
 _BEYOND_SPACE = re.compile("[  -     　]")
 _SPECIAL = "<|"
+# Marks behind a word and in front of a space or the end: an apostrophe is none, as it may begin a word.
+_BEHIND_WORD = re.compile(r"(?<=[A-Za-z])([.,;:!?%]+)(?=[ \n]|\Z)")
+_LINE_FEED = re.compile(r"(?<=\S)\n(?=\S)")
 
 # The word patterns of the two vocabularies.
 _SPACED_WORDS = re.compile(
@@ -122,44 +125,56 @@ class BpeEncoder:
         With a spaced vocabulary a key stands for itself after a space, or, where it starts with a
         line feed, for what follows that without a space; so words are keys of their own.
         """
-        chunk = key if self.style == "bare" else key[1:] if key[0] == "\n" else " " + key
-        if _SPECIAL in chunk or not chunk.isascii() and (_BEYOND.search(chunk) or "İ" in chunk):
+        chunk = key if self.style == "bare" else key[1:] if key[0] == "\n" else f" {key}"
+        if chunk.isascii():
+            if (key if key[0] != "\n" else chunk).isalpha() and (self.style == "spaced" or chunk.islower()):
+                return self._word(chunk)
+            safe = _SPECIAL not in chunk
+        else:
+            safe = not (_BEYOND.search(chunk) or "İ" in chunk or _SPECIAL in chunk)
+        if not safe:
             return self._whole(chunk)
+        memo = self.memo
         if self.style == "bare":
             words = _BARE_WORDS.findall(chunk.lower())
-            return self._word(words[0]) if len(words) == 1 else b"".join([self.memo[w] for w in words])
+            return self._word(key) if words == [key] else b"".join([memo[w] for w in words])
         words = _SPACED_WORDS.findall(chunk)
         if len(words) == 1:
-            return self._word(words[0])
-        memo = self.memo
+            return self._word(chunk)
         return b"".join([memo[w[1:] if w[0] == " " and w[1:2] not in ("", "\n") else "\n" + w] for w in words])
 
     def _spaced_chunks(self, text: str) -> list[str]:
-        """Keys of the chunks between single spaces; a piece next to other white space joins its neighbours."""
+        """Keys of the chunks between single spaces; a piece next to other white space joins its neighbours.
+
+        In a text without such pieces marks behind a word and single line feeds are cut off first:
+        they are words of their own, and fewer different chunks are left.
+        """
+        if not _oddly_spaced(text):
+            return ("\n" + _LINE_FEED.sub(" \n\n \n", _BEHIND_WORD.sub(r" \n\1", text))).split(" ")
         parts = text.split(" ")
-        if _oddly_spaced(text):
-            whole = [parts[0]]
-            for part in parts[1:]:
-                last = whole[-1]
-                if part and last and not part[0].isspace() and not last[-1].isspace():
-                    whole.append(part)
-                else:
-                    whole[-1] = f"{last} {part}"
-            parts = whole
-        parts[0] = "\n" + parts[0]
-        return parts
+        whole = [parts[0]]
+        for part in parts[1:]:
+            last = whole[-1]
+            if part and last and not part[0].isspace() and not last[-1].isspace():
+                whole.append(part)
+            else:
+                whole[-1] = f"{last} {part}"
+        whole[0] = "\n" + whole[0]
+        return whole
+
+    def _bare_chunks(self, text: str) -> list[str]:
+        """Pieces between white space, those of Latin text in lower case and without the marks behind a word."""
+        if _SPECIAL not in text and (text.isascii() or not (_BEYOND.search(text) or "İ" in text)):
+            text = _BEHIND_WORD.sub(r" \1", text.lower())
+        chunks = text.replace("\n", " ").split(" ")
+        return [c for c in chunks if c] if "" in chunks else chunks
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if self.style is None or (not text.isascii() and _BEYOND_SPACE.search(text)):
             return self._whole(text)
-        if self.style == "bare":
-            chunks = text.replace("\n", " ").split(" ")
-            if "" in chunks:
-                chunks = [c for c in chunks if c]
-        else:
-            chunks = self._spaced_chunks(text)
+        chunks = self._bare_chunks(text) if self.style == "bare" else self._spaced_chunks(text)
         return b"".join(map(self.memo.__getitem__, chunks))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from meterfold.session import materialise
 
 SLICE_ROWS = 1_000
+SLICE_BYTES = 8 << 20
 BATCH_ROWS = 1_000
 
 
@@ -76,13 +79,36 @@ def binary(array: np.ndarray, kind: str) -> bytes:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """The batches in smaller ones, so that what a step makes of whole texts stays small; none is empty."""
+    """The batches in smaller ones, so that what a step makes of whole texts stays small; none is empty.
+
+    A slice holds at most ``rows`` rows and ``SLICE_BYTES`` bytes, or a single row beyond that.
+    """
     for batch in batches:
-        for first in range(0, batch.num_rows, rows):
-            yield batch.slice(first, rows)
+        first = 0
+        while first < batch.num_rows:
+            part = batch.slice(first, rows)
+            while part.num_rows > 1 and part.nbytes > SLICE_BYTES:
+                part = part.slice(0, part.num_rows // 2)
+            yield part
+            first += part.num_rows
+
+
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int]:
+    """The C library's call to give free memory back, where there is one."""
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return lambda pad: 0
+
+
+def give_back() -> None:
+    """Free memory back to the system, which the allocators would keep for later."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
 
 
-def released(batches: Iterator[pa.RecordBatch], *memos: dict) -> Iterator[pa.RecordBatch]:
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches, and at the end of the task its memory back to the system.
 
     Python workers serve one task after the other, of other operators too, and would hold on to it.
@@ -90,9 +116,7 @@ def released(batches: Iterator[pa.RecordBatch], *memos: dict) -> Iterator[pa.Rec
     try:
         yield from batches
     finally:
-        for memo in memos:
-            memo.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def map_batches(df: DataFrame, step: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:

@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -31,6 +32,7 @@ from meterfold.llm.common import (
     binary,
     components_of,
     connected_components,
+    give_back,
     ngram_hashes,
     released,
     small_batches,
@@ -105,31 +107,47 @@ def _pack(rows: DataFrame, sets: Callable[[pa.RecordBatch], tuple[np.ndarray, np
     return rows.mapInArrow(lambda batches: released(run(batches)), _PACKED)
 
 
+def occurrences(values: np.ndarray) -> np.ndarray:
+    """How often each value occurs among all, in their order; takes three arrays of their length."""
+    order = np.argsort(values).astype(np.uint32)
+    ordered = values[order]
+    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(values) else np.empty(0, np.int64)
+    counts = np.diff(np.r_[starts, len(values)]).astype(np.uint32)
+    found = np.empty(len(values), np.uint32)
+    found[order] = np.repeat(counts, counts)
+    return found
+
+
+def _whole(column: pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column as numbers, without a copy, and where each row ends among them."""
+    column = column.combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    size = np.dtype(kind).itemsize
+    raw = column.buffers()[2]
+    if raw is None or ends[0] == ends[-1]:
+        return np.empty(0, kind), np.zeros(len(column) + 1, np.int64)
+    return np.frombuffer(raw, np.uint8)[ends[0] : ends[-1]].view(kind), (ends - ends[0]) // size
+
+
 def _count_block(rows: pa.Table) -> pa.Table:
     """Of one block of columns the incidences of those in two documents or more, with the column's count."""
-    data = rows.to_pylist()
-    packed = [r for r in data if not r["roster"]]
-    hashes = np.frombuffer(b"".join(r["hashes"] for r in packed), "<u8")
-    _, column, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    df = count[column] if len(hashes) else np.empty(0, np.int64)
-    out: list[list] = [[] for _ in range(7)]
-    start = 0
-    for r in data:
-        if r["roster"]:
-            row = (r["batch"], r["block"], True, r["ids"], r["sizes"], b"", b"")
-        else:
-            own = np.frombuffer(r["hashes"], "<u8")
-            times = df[start : start + len(own)]
-            start += len(own)
-            shared = times >= 2
-            if not shared.any():
-                continue
-            docs = np.frombuffer(r["ids"], "<u4")[shared]
-            row = (r["batch"], r["block"], False, docs.tobytes(), b"", own[shared].tobytes(), binary(times[shared], "<u4"))
-        for column_, value in zip(out, row):
-            column_.append(value)
+    packed = rows.filter(pa.compute.invert(rows["roster"]))
+    hashes, ends = _whole(packed["hashes"], "<u8")
+    docs, _ = _whole(packed["ids"], "<u4")
+    df = occurrences(hashes)
+    rosters = rows.filter(rows["roster"])
+    out = [rosters[c].to_pylist() for c in ("batch", "block", "roster", "ids", "sizes", "hashes", "dfs")]
+    for batch, block, first, last in zip(packed["batch"].to_pylist(), packed["block"].to_pylist(), ends[:-1], ends[1:]):
+        shared = df[first:last] >= 2
+        if shared.any():
+            ids, own, times = (a[first:last][shared].tobytes() for a in (docs, hashes, df))
+            row = (batch, block, False, ids, b"", own, times)
+            for column, value in zip(out, row):
+                column.append(value)
     found = pa.Table.from_batches([_rows(out)])
-    pa.default_memory_pool().release_unused()
+    del packed, hashes, docs, df, out
+    give_back()
     return found
 
 
@@ -235,19 +253,20 @@ def similar_forest(ids: np.ndarray, sizes: np.ndarray, parts: list[np.ndarray],
     """
     n = len(ids)
     flat = np.concatenate(parts)
-    doc = np.repeat(np.arange(n), [len(p) for p in parts])
-    _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
-    keep = count[column] >= 2
-    number = np.cumsum(count >= 2) - 1
-    doc, column = doc[keep], number[column[keep]]
-    order = np.argsort(column, kind="stable")
-    doc, column = doc[order], column[order]
-    overlap = np.zeros((n, n), dtype=np.float32)
+    doc = np.repeat(np.arange(n, dtype=np.int32), [len(p) for p in parts])
+    keep = occurrences(flat) >= 2
+    flat, doc = flat[keep], doc[keep]
+    order = np.argsort(flat, kind="stable").astype(np.uint32)
+    flat, doc = flat[order], doc[order]
+    column = np.cumsum(np.r_[False, flat[1:] != flat[:-1]], dtype=np.int32) if len(flat) else np.empty(0, np.int32)
+    # a document of 2^24 shingles or more would need wider numbers than float32 to count them exactly
+    exact = np.float32 if max(map(len, parts), default=0) < 1 << 24 else np.float64
+    overlap = np.zeros((n, n), dtype=exact)
     width = int(column[-1]) + 1 if len(column) else 0
     for first in range(0, width, PRODUCT_COLUMNS):
         low, high = np.searchsorted(column, [first, first + PRODUCT_COLUMNS])
         rows, local = np.unique(doc[low:high], return_inverse=True)
-        block = np.zeros((len(rows), min(PRODUCT_COLUMNS, width - first)), dtype=np.float32)
+        block = np.zeros((len(rows), min(PRODUCT_COLUMNS, width - first)), dtype=exact)
         block[local, column[low:high] - first] = 1
         overlap[np.ix_(rows, rows)] += block @ block.T
     shared = overlap.astype(np.int64)
@@ -323,7 +342,8 @@ def _products(reps: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
         if held:
             yield links()
 
-    return cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint").distinct()
+    linked = cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: released(run(batches)), "a bigint, b bigint")
+    return linked.distinct()
 
 
 def jaccard_classes(docs: DataFrame, n: int = SHINGLE, percent: int = LEAST_PERCENT) -> DataFrame:
@@ -363,7 +383,13 @@ def jaccard_classes(docs: DataFrame, n: int = SHINGLE, percent: int = LEAST_PERC
 
 
 def drop_near_copies(docs: DataFrame, n: int = SHINGLE, percent: int = LEAST_PERCENT) -> DataFrame:
-    """The rows of ``docs`` with one document of each class left, that of the smallest id; all columns stay."""
+    """The rows of ``docs`` with one document of each class left, that of the smallest id; all columns stay.
+
+    Edge cases: as in :func:`jaccard_classes`; rows without id stay, as they have no class, texts
+    without words stay, of rows with the same id and text one stays, and rows of one id with
+    different texts stay together; an empty table gives no rows. Columns may have any names, those
+    used here too.
+    """
     classes = jaccard_classes(docs, n, percent)
     others = classes.filter("component_id < doc_id").select(F.col("doc_id").alias("_other")).distinct()
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("text_hash"))

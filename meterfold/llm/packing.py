@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterfold.llm.common import released, slices, small_batches
-from meterfold.llm.tokens import VOCABULARY, encoded, encoder
+from meterfold.llm.tokens import VOCABULARY, encoded
 from meterfold.session import materialise
 
 SEQUENCE = 2048
@@ -49,7 +49,7 @@ def cut_documents(docs: DataFrame, capacity: int = SEQUENCE, vocabulary: str = V
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return released(cut(batches), encoder(vocabulary).memo)
+        return released(cut(batches))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     chosen = small_batches(docs).select("doc_id", F.col("text").cast("string").alias("text"))

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
-from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from meterfold.llm import bpe
 from meterfold.llm.common import map_batches, released, slices, small_batches
 from meterfold.session import fresh_path
 
@@ -22,142 +20,10 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 ID = "<u4"
 
-# Texts are encoded in groups of about this many characters; the memo holds so many chunks.
-GROUP_CHARS = 2_000_000
-MEMO_CHUNKS = 300_000
-
-
-# Marks that are encoded apart from a word in front, and spacing other than single spaces.
-_MARKS = ".,;:!?%&*#$|)"
-_SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f "
-_ODD_ASCII = sorted({pair for c in _SPACES for pair in (f" {c}", f"{c} ")})
-_ODD = re.compile(r" \s|\s ")
-
-
-def _oddly_spaced(text: str) -> bool:
-    """Whether a piece between single spaces is empty or has white space at an end."""
-    if not text or text[0].isspace() or text[-1].isspace() or any(pair in text for pair in _ODD_ASCII):
-        return True
-    return not text.isascii() and _ODD.search(text) is not None
-
-
-class ChunkEncoder:
-    """Encodes texts with a byte-level BPE tokenizer, each distinct chunk of text once.
-
-    The tokenizer's pattern starts a new token at every single space between two characters that
-    are not white space, and what it makes of one such chunk does not depend on its neighbours.
-    So a text's ids are those of its chunks, one after the other. Chunks not seen before are
-    encoded together and cut apart by the number of bytes behind each id. A piece next to other
-    white space is no chunk of its own: it is joined again with its neighbours.
-    """
-
-    def __init__(self, vocabulary: str = VOCABULARY):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(vocabulary)
-        size = self.tokenizer.get_vocab_size()
-        # in the byte-level alphabet a token has one character for each byte
-        self.id_bytes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)], dtype=np.int64)
-        self.memo: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=ID).tobytes()
-
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        """Keys of the text's chunks; that of the first chunk, before which no space is, starts with a line feed."""
-        parts = text.split(" ")
-        if _oddly_spaced(text):
-            whole = [parts[0]]
-            for part in parts[1:]:
-                last = whole[-1]
-                if part and last and not part[0].isspace() and not last[-1].isspace():
-                    whole.append(part)
-                else:
-                    whole[-1] = f"{last} {part}"
-            parts = whole
-        parts[0] = "\n" + parts[0]
-        return parts
-
-    def _learn(self, missing: Iterable[str]) -> None:
-        """Encode the chunks in one go, each after its space; first chunks and odd ones alone.
-
-        Punctuation after a letter is a token of its own whatever stands before, so a word and
-        the marks behind it are learned apart.
-        """
-        memo, joined, marked = self.memo, [], []
-        for m in missing:
-            if m[0] == "\n":
-                memo[m] = self._encode(m[1:])
-                continue
-            word = m.rstrip(_MARKS)
-            if len(word) < len(m) and word and word[-1].isalpha() and word[-1] < "\u0250":
-                marks = "\n" + m[len(word) :]
-                if marks not in memo:
-                    memo[marks] = self._encode(marks[1:])
-                marked.append((m, word, marks))
-                m = word
-                if m in memo:
-                    continue
-            joined.append(m)
-        self._encode_together(list(dict.fromkeys(joined)))
-        for m, word, marks in marked:
-            memo[m] = memo[word] + memo[marks]
-
-    def _encode_together(self, chunks: list[str]) -> None:
-        if not chunks:
-            return
-        pieces = [f" {m}" for m in chunks]
-        # the fast form leaves out the offsets, which are not needed
-        [whole] = self.tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)
-        ids = np.array(whole.ids, dtype=ID)
-        reached = np.cumsum(self.id_bytes[ids])
-        ends = np.cumsum([len(p.encode()) for p in pieces])
-        cuts = np.searchsorted(reached, ends)
-        if len(reached) == 0 or reached[-1] != ends[-1] or not np.array_equal(reached[cuts], ends):
-            for m, p in zip(chunks, pieces):
-                self.memo[m] = self._encode(p)
-            return
-        raw, start = ids.tobytes(), 0
-        for m, cut in zip(chunks, ((cuts + 1) * 4).tolist()):
-            self.memo[m] = raw[start:cut]
-            start = cut
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit numbers."""
-        out: list[bytes] = []
-        first = 0
-        while first < len(texts):
-            last, chars = first, 0
-            while last < len(texts) and (last == first or chars + len(texts[last]) <= GROUP_CHARS):
-                chars += len(texts[last])
-                last += 1
-            out += self._group(texts[first:last])
-            first = last
-        return out
-
-    def _group(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO_CHUNKS:
-            self.memo.clear()
-        split = [self.chunks(t) if t else [] for t in texts]
-        memo = self.memo
-        missing = [part for parts in split for part in parts if part not in memo]
-        if missing:
-            self._learn(dict.fromkeys(missing))
-        get = memo.__getitem__
-        return [b"".join(map(get, parts)) for parts in split]
-
-
-@lru_cache(maxsize=2)
-def encoder(vocabulary: str = VOCABULARY) -> ChunkEncoder:
-    return ChunkEncoder(vocabulary)
-
 
 def encoded(texts: list[str | None], vocabulary: str = VOCABULARY) -> list[bytes]:
     """Ids of each text followed by the end id; an absent text counts as empty."""
-    end = np.array([END_ID], dtype=ID).tobytes()
-    return [ids + end for ids in encoder(vocabulary).encode([t or "" for t in texts])]
+    return bpe.encoded(texts, vocabulary, END_ID)
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
@@ -208,7 +74,7 @@ def write_tokens(
             before += int(counts.sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return released(encode(batches), encoder(vocabulary).memo)
+        return released(encode(batches))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens int, part int, first bigint, ids array<int>"

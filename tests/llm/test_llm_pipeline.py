@@ -1,6 +1,8 @@
 """The pipeline's stages against brute force, and the registered queries against their SQL."""
 
+import subprocess
 import sys
+import tempfile
 from collections import Counter
 from pathlib import Path
 
@@ -72,3 +74,47 @@ def test_stages_and_whole_run(spark):
     assert sum(r["length"] for r in packed) == sum(lengths)
     whole = corpus_pipeline.run(spark, SF_DIR).collect()
     assert Counter(whole) == Counter(packed)
+
+
+def written(spark, docs, labels):
+    folder = tempfile.mkdtemp(prefix="meterfold-test-")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def test_pipeline_without_rows(spark, docs):
+    folder = written(spark, docs([]), [])
+    assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_pipeline_with_absent_values_ties_repeats_and_clashing_columns(spark, docs, corpus):
+    """Rows without id stay, one of each repeated row and of each text goes on, all columns are kept."""
+    df = docs(corpus)
+    folder = written(spark, df, [(None, 1, 1), (0, None, None), (0, 1, 0)])
+    frame = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, folder)
+        assert frame.columns == df.columns, name
+    rows = frame.collect()
+    texts = Counter((r["text"] or "").encode().lower() for r in rows)
+    assert max(texts.values()) == 1
+    assert {r["doc_id"] for r in rows} >= {50, 43} and all(r["part"] == 1 for r in rows)
+    packed = corpus_pipeline.run(spark, folder).collect()
+    plain = {r["doc_id"] for r in rows}
+    assert {r["doc_id"] for r in packed} == plain
+    assert sum(r["length"] for r in packed) == sum(len(x) // 4 for x in tokens.encoded([r["text"] for r in rows]))
+
+
+def test_core_queries_do_not_need_the_text_packages():
+    """A package that only the text operators need may be absent."""
+    script = """
+import sys
+sys.modules["tokenizers"] = sys.modules["xxhash"] = None
+import __spark_entry__ as entry
+assert entry.queries() and not any(n.startswith("op") for n in entry.queries())
+print("imported")
+"""
+    root = str(Path(__file__).resolve().parent.parent.parent)
+    ran = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=120)
+    assert "imported" in ran.stdout, ran.stderr[-2000:]

@@ -168,6 +168,28 @@ def test_recall_is_calibrated():
     assert hits.mean() > 0.99
 
 
+@pytest.mark.parametrize("least", [0.5, 0.8, 0.95])
+def test_links_at_other_thresholds(spark, least):
+    """3,000 vectors over many cells: nearly every pair at or above the threshold is found, none below."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((3000, 8))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= least).sum(axis=1) - 1
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(df, least).collect()}
+    assert all(got[i] <= n for i, n in enumerate(want))
+    assert sum(got.values()) >= 0.98 * want.sum()
+
+
+def test_occurrences():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 50, 1000):
+        values = rng.integers(0, 40, n).astype(np.uint64)
+        counts = Counter(values.tolist())
+        assert jaccard.occurrences(values).tolist() == [counts[v] for v in values.tolist()]
+
+
 def test_empty_tables(spark, docs):
     assert jaccard.jaccard_classes(docs([])).count() == 0
     assert jaccard.drop_near_copies(docs([(None, None), (1, "")])).count() == 2
