@@ -159,7 +159,8 @@ def late_arrivals(estate: Estate, store: StatStore) -> DataFrame | None:
     """``entity_id, key_id, ts``: per series the oldest reading in new loads that is behind a watermark.
 
     The loads' summaries tell; no telemetry is read. New are the loads that some job has not worked
-    on; nothing is late where there are none, or no job has run.
+    on; nothing is late where there are none, or no job has run. The rows are stored, as a rewind
+    replaces the files of the watermarks that they are found by.
     """
     log = estate.arrivals
     newest, done = log.newest(), store.read("progress").agg(F.min("arrival")).first()[0]
@@ -180,7 +181,7 @@ def late_arrivals(estate: Estate, store: StatStore) -> DataFrame | None:
         )
         behind = behind.select("entity_id", F.col("reading_key").alias("key_id"), "ts")
         found = behind if found is None else found.unionByName(behind)
-    return found.distinct()
+    return materialise(found.distinct(), "late-arrivals")
 
 
 def run_arrived(estate: Estate, store: StatStore, as_of: datetime, schedule: list[tuple[str, str, dict]] | None = None) -> list[Run]:

@@ -158,6 +158,21 @@ def test_late_readings_are_redone_in_every_grain(spark, dimensions, whole):
     assert plant.contents() == whole
 
 
+def test_late_readings_outlive_the_watermarks_they_were_found_by(spark, dimensions):
+    """What was found late is the same rows after a rewind has replaced the files of the watermarks."""
+    steps = [("w1", 569, epoch_ms(datetime(2025, 3, d, h)), 100.0 * d + h) for d in (1, 2, 3) for h in (9, 10, 15)]
+    plant, chain = Plant(spark, dimensions), [("minute", "other", {})]
+    plant.load([r for n, r in enumerate(steps) if n != 4])
+    plant.run(chain)
+    plant.load(steps[4:5])
+    found = late_arrivals(plant.estate, plant.store)
+    rows = found.collect()
+    assert [(r["entity_id"], r["key_id"], r["ts"]) for r in rows] == [("w1", 569, datetime(2025, 3, 2, 10))]
+    assert rewind(plant.estate, plant.store, found) == 1
+    assert found.select("*").collect() == rows
+    assert rewind(plant.estate, plant.store, found) == 0
+
+
 def test_late_readings_of_a_closed_month_and_year(spark, dimensions):
     def steps(months):
         return [("w1", 569, epoch_ms(datetime(2024 + (m - 1) // 12, (m - 1) % 12 + 1, d, h)), 100.0 * m + d + h / 24) for m in months for d in (3, 20) for h in (9, 15)]
