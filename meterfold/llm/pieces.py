@@ -8,7 +8,13 @@ log-probability, and when the set is split its best part keeps that value and th
 values truncated at it. So the perturbed value of a set bounds its members exactly, and a
 best-first (A*) search with it as the priority walks each of the k paths once and opens no other:
 after a path is emitted, what remains of the text's segmentations are the sets that leave it at
-one of its edges, and the best of all open sets is next.
+one of its edges, and the best of all open sets is next. The sets along a path stay one set, whose mass is
+the difference of two prefixes' masses, until it is the best and has to be split.
+
+A set is drawn from by a walk through its lattice. As stretches do not depend on each other, free
+walks through all of them are drawn ahead, one for each sample, for many texts at once; what is
+free in a sample is taken from its own walk. A walk's noise is hashed from the text's key, the
+number of the sample and the place in the text, so a text's samples do not depend on its neighbours.
 
 A piece of this kind of model holds white-space marks only in front, so a lattice is cut into
 stretches before such marks, and the stretches of many texts are worked on side by side.
@@ -16,9 +22,11 @@ stretches before such marks, and the stretches of many texts are worked on side
 
 from __future__ import annotations
 
+import heapq
+import math
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -28,16 +36,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterfold.llm.common import slices, small_batches
+from meterfold.llm.common import mixed, slices, small_batches
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SAMPLES = 3
 # Exponent of the piece probabilities: 1 samples from the model, less spreads the choice.
 SHARPNESS = 0.5
 SEED = 5
-# Texts sampled at a time, characters whose lattices are built together, and the slots of the piece table.
+# Texts sampled at a time, characters times samples that are drawn together, and the slots of the piece table.
 SLICE_ROWS = 200
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 3_000_000
 _SLOT_BITS = 20
 
 
@@ -70,6 +78,9 @@ class Vocabulary:
             if p.is_byte(i):
                 self.byte_ids[int(names[i][3:5], 16)] = i
         self.text = [bytes([int(names[i][3:5], 16)]) if p.is_byte(i) else names[i].replace("\u2581", " ").encode() for i in range(n)]
+        self.text_size = np.array([len(t) for t in self.text])
+        self.text_first = np.cumsum(self.text_size) - self.text_size
+        self.text_bytes = np.frombuffer(b"".join(self.text), np.uint8)
         known: dict[int, int] = {}
         for i in spelled:
             h = np.uint64(0)
@@ -105,10 +116,12 @@ class Vocabulary:
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece of each hash (-1: the beginning of one only), and whether it is any of both."""
         piece, there = np.full(len(h), -1, np.int32), np.zeros(len(h), bool)
+        rest = np.arange(len(h))
         for turn, (keys, values) in enumerate(self.tables):
-            slot = self._slot(h, turn)
-            same = keys[slot] == h
-            piece[same], there[same] = values[slot[same]], True
+            slot = self._slot(h[rest], turn)
+            same = keys[slot] == h[rest]
+            piece[rest[same]], there[rest[same]] = values[slot[same]], True
+            rest = rest[~same]
         return piece, there
 
 
@@ -127,13 +140,15 @@ def _distinct_stretches(char: np.ndarray, starts: np.ndarray, length: np.ndarray
 
 
 class Lattices:
-    """The lattices of some texts: one node per character, one column per length of a piece.
+    """The lattices of some texts: one node per character, one edge per piece that begins there.
 
     Stretches that occur several times in the texts have one lattice: ``starts`` leads from each
-    stretch, in text order, to its first node, and ``bounds`` from a text to its stretches.
-    ``share[i, l - 1]`` is the chance that a path drawn from the model, once at node ``i``, goes
-    on with the piece of ``l`` characters from there, which is ``piece[i, l - 1]``. Numbers from
-    ``vocabulary.size`` on stand for a character that no piece spells, in bytes.
+    stretch, in text order, to its first node, and ``bounds`` from a text to its stretches. Node
+    ``i`` has ``count[i]`` edges from ``first[i]`` on, by length. ``chance[e]`` is the chance that a
+    path drawn from the model, once at the node, goes on with edge ``e``, whose piece is
+    ``piece[e]`` and has ``length[e]`` characters. Numbers from ``vocabulary.size`` on stand for a
+    character that no piece spells, in bytes. Edges are numbered by the distance of their node from
+    the end of its stretch, in the order in which chances are found.
     """
 
     def __init__(self, vocabulary: Vocabulary, texts: list[str]):
@@ -147,19 +162,19 @@ class Lattices:
         starts = np.nonzero(begins)[0]
         length = np.diff(np.append(starts, n))
         self.bounds = np.searchsorted(starts, edges)
+        # the place of each stretch in its text
+        self.place = starts - np.repeat(edges[:-1], np.diff(self.bounds))
         one, which = _distinct_stretches(char, starts, length)
         size = length[one]
         base = np.cumsum(size) - size
         self.starts = base[which]
         self.char = char[np.repeat(starts[one] - base, size) + np.arange(int(size.sum()))]
         self.end = np.repeat(base + size, size)
-        self._find_pieces(len(self.char))
-        self._spread(len(self.char), base, base + size)
+        self._spread(self._find_pieces(len(self.char)), size)
 
-    def _find_pieces(self, n: int) -> None:
-        v = self.vocabulary
-        self.piece = np.zeros((n, v.longest), dtype=np.int32)
-        self.share = np.zeros((n, v.longest))
+    def _find_pieces(self, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each length of a piece, from 1 on, the nodes where one begins and its number."""
+        v, found = self.vocabulary, []
         at, h = np.arange(n), np.zeros(n, dtype=np.uint64)
         for k in range(v.longest):
             inside = at + k < self.end[at]
@@ -167,64 +182,116 @@ class Lattices:
             h = v.roll(h, self.char[at + k])
             piece, there = v.find(h)
             whole = piece >= 0
-            self.piece[at[whole], k] = piece[whole]
-            self.share[at[whole], k] = v.weight[piece[whole]]
+            found.append((at[whole], piece[whole]))
             at, h = at[there], h[there]
-        bare = np.nonzero(~self.share.any(axis=1))[0]
-        char = self.char[bare]
-        width = _utf8_width(char)
-        self.piece[bare, 0] = v.size + char
-        self.share[bare, 0] = np.exp(np.maximum(v.least * width + v.lift, -600))
-        used = int(np.nonzero(self.share.any(axis=0))[0].max(initial=0)) + 1
-        self.piece, self.share = np.ascontiguousarray(self.piece[:, :used]), np.ascontiguousarray(self.share[:, :used])
+        return found
 
-    def _spread(self, n: int, starts: np.ndarray, ends: np.ndarray) -> None:
+    def _spread(self, found: list[tuple[np.ndarray, np.ndarray]], size: np.ndarray) -> None:
         """From weights to conditional probabilities: the mass of all paths from a node to the end of its stretch.
 
-        All stretches advance together, from their last character to their first. Only ratios
-        within a piece's reach count, so the masses ahead are scaled where they leave the range.
+        All stretches advance together, from their last character to their first. The masses of one
+        distance from the end are neighbours, those of longer stretches first. Only ratios within a
+        piece's reach count, so the masses ahead are scaled where they leave the range.
         """
-        reach = self.share.shape[1]
-        # spare places behind each stretch, the first of which holds the mass 1 of its end, so stretches cannot touch
-        mass = np.zeros(n + (len(ends) + 1) * reach)
-        tail = ends + np.arange(len(ends)) * reach
-        mass[tail] = 1.0
-        ahead = np.lib.stride_tricks.sliding_window_view(mass, reach)
-        by_length = np.argsort(starts - ends, kind="stable")
-        end, tail = ends[by_length], tail[by_length]
-        length = end - starts[by_length]
-        for back in range(1, int(length[0]) + 1 if len(length) else 1):
-            going = int(np.searchsorted(-length, -back, side="right"))
-            at, spot = end[:going] - back, tail[:going] - back
-            row = self.share[at] * ahead[spot + 1]
-            total = row.sum(axis=1)
-            self.share[at] = row / total[:, None]
-            mass[spot] = total
-            for i in np.nonzero((total < 1e-150) | (total > 1e150))[0]:
-                mass[spot[i] : spot[i] + reach] /= total[i]
-
-    def walk(self, starts: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """A path through each stretch from its start: its number in ``starts``, node, column and share of each step."""
-        owner, node = np.arange(len(starts)), starts
-        steps = []
+        v, n, kinds = self.vocabulary, len(self.char), len(size)
+        self.count = np.zeros(n, dtype=np.int64)
+        for nodes, _ in found:
+            self.count[nodes] += 1
+        bare = np.nonzero(self.count == 0)[0]
+        self.count[bare] = 1
+        rank = np.empty(kinds, dtype=np.int64)
+        rank[np.argsort(-size, kind="stable")] = np.arange(kinds)
+        rank = np.repeat(rank, size)
+        by_size = np.bincount(size, minlength=1)
+        going = kinds - (np.cumsum(by_size) - by_size)
+        level = np.concatenate([[0], np.cumsum(going)])
+        back = self.end - np.arange(n)
+        spot = level[back] + rank
+        # the first level is the ends of the stretches, which have the mass 1 and no edges
+        count = np.zeros(int(level[-1]), dtype=np.int64)
+        count[spot] = self.count
+        first = np.concatenate([[0], np.cumsum(count)])
+        self.first = first[spot]
+        edges = int(first[-1])
+        self.piece, self.length = np.empty(edges, dtype=np.int32), np.ones(edges, dtype=np.int64)
+        self.node, ahead, weight = (np.empty(edges, dtype=t) for t in (np.int64, np.int64, np.float64))
+        free = self.first.copy()
+        char = self.char[bare]
+        bare_weight = np.exp(np.maximum(v.least * _utf8_width(char) + v.lift, -600))
+        whole = [(k, nodes, piece, v.weight[piece]) for k, (nodes, piece) in enumerate(found, 1) if len(nodes)]
+        for k, nodes, piece, value in [*whole, (1, bare, v.size + char, bare_weight)]:
+            at = free[nodes]
+            free[nodes] = at + 1
+            self.piece[at], self.length[at], self.node[at], weight[at] = piece, k, nodes, value
+            ahead[at] = level[back[nodes] - k] + rank[nodes]
+        mass, total = np.ones(len(count)), np.ones(len(count))
+        for low, high in zip(level[1:-1].tolist(), level[2:].tolist()):
+            a, b = int(first[low]), int(first[high])
+            part = weight[a:b]
+            part *= mass[ahead[a:b]]
+            sums = np.add.reduceat(part, first[low:high] - a)
+            mass[low:high] = total[low:high] = sums
+            if sums.min() < 1e-150 or sums.max() > 1e150:
+                at = int(np.searchsorted(level, low))
+                for i in np.nonzero((sums < 1e-150) | (sums > 1e150))[0]:
+                    mass[level[max(at - v.longest, 0) : at + 1] + i] /= sums[i]
+        self.chance = weight / np.repeat(total, count)
+        self.log_chance = np.log(np.maximum(self.chance, 1e-300))
+
+    @cached_property
+    def share(self) -> np.ndarray:
+        """The chances as a table: one row per node, one column per length of a piece."""
+        table = np.zeros((len(self.char), int(self.length.max(initial=1))))
+        table[self.node, self.length - 1] = self.chance
+        return table
+
+    def walks(self, keys: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The edges of ``k`` free paths through all stretches, one path after the other, and where each stretch's begin."""
+        stretches = len(self.starts)
+        turns = np.arange(k, dtype=np.uint64)[:, None] * np.uint64(0xD1B54A32D192ED03)
+        seeds = mixed(mixed(np.array(keys, dtype=np.uint64)) + turns + np.uint64(1))
+        seed = np.repeat(seeds, np.diff(self.bounds), axis=1).ravel()
+        place, node = np.tile(self.place, k), np.tile(self.starts, k)
+        end = self.end[node]
+        walker = np.arange(k * stretches)
+        steps, taken = np.zeros(k * stretches, dtype=np.int64), []
         while len(node):
-            row = self.share[node]
-            reached = np.cumsum(row, axis=1)
-            draw = rng.random(len(node)) * reached[:, -1]
-            column = (reached <= draw[:, None]).sum(axis=1)
-            steps.append((owner, node, column, row[np.arange(len(node)), column]))
-            ahead = node + column + 1
-            going = ahead < self.end[node]
-            owner, node = owner[going], ahead[going]
-        if not steps:
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-        found = [np.concatenate(x) for x in zip(*steps)]
-        order = np.argsort(found[0], kind="stable")
-        return tuple(x[order] for x in found)
+            noise = mixed(seed + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            edge = self.first[node]
+            last = edge + self.count[node] - 1
+            rest = (noise >> np.uint64(11)) * 2.0**-53 - self.chance[edge]
+            on = np.nonzero((rest >= 0) & (edge < last))[0]
+            at, rest, last = edge[on], rest[on], last[on]
+            while len(on):
+                at = at + 1
+                rest = rest - self.chance[at]
+                edge[on] = at
+                further = (rest >= 0) & (at < last)
+                on, at, rest, last = on[further], at[further], rest[further], last[further]
+            taken.append((walker, edge))
+            steps[walker] += 1
+            length = self.length[edge]
+            node = node + length
+            going = np.nonzero(node < end)[0]
+            walker, node, end, seed, place = walker[going], node[going], end[going], seed[going], (place + length)[going]
+        base = np.concatenate([[0], np.cumsum(steps)])
+        path = np.empty(int(base[-1]), dtype=np.int64)
+        for turn, (walker, edge) in enumerate(taken):
+            path[base[walker] + turn] = edge
+        return path, base
+
+    def edge(self, node: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """The edges of some nodes with pieces of ``column + 1`` characters."""
+        place = np.full((len(self.char), int(self.length.max(initial=1))), -1)
+        place[self.node, self.length - 1] = np.arange(len(self.node))
+        return place[node, column]
 
     def ids(self, node: np.ndarray, column: np.ndarray) -> np.ndarray:
-        """Piece ids of a path; characters that no piece spells become the pieces of their bytes."""
-        found = self.piece[node, column]
+        return self.spelled(self.edge(node, column))
+
+    def spelled(self, path: np.ndarray) -> np.ndarray:
+        """Piece ids of a path's edges; characters that no piece spells become the pieces of their bytes."""
+        found = self.piece[path]
         bare = np.nonzero(found >= self.vocabulary.size)[0]
         if not len(bare):
             return found
@@ -246,61 +313,93 @@ def _utf8_width(char: np.ndarray) -> np.ndarray:
     return 1 + (char > 0x7F).astype(np.int64) + (char > 0x7FF) + (char > 0xFFFF)
 
 
-def _truncated(log_mass: np.ndarray, bound: float, rng: np.random.Generator) -> np.ndarray:
-    """Gumbel variables of the given log-masses, each no larger than ``bound``."""
-    noise = np.log(rng.standard_exponential(len(log_mass)))
-    return -np.logaddexp(-bound, noise - log_mass)
+def _truncated(log_mass: float, bound: float, rng: np.random.Generator) -> float:
+    """A Gumbel variable of the given log-mass, no larger than ``bound``."""
+    a, b = -bound, math.log(rng.standard_exponential()) - log_mass
+    return -(max(a, b) + math.log1p(math.exp(-abs(a - b))))
 
 
 class _Path:
-    """An emitted segmentation and the open sets that leave it: one per step, with its perturbed value."""
-
-    def __init__(self, owner, node, column, share, value: float, start: int, rng: np.random.Generator):
-        self.owner, self.node, self.column, self.value = owner, node, column, value
-        self.before = np.concatenate([[0.0], np.cumsum(np.log(share))])
-        self.share, self.log_prob = share, float(self.before[-1])
-        rest = 1.0 - share[start:]
-        # steps before `start` are shared with an earlier path, whose sets they are
-        self.open = np.full(len(node), -np.inf)
-        with np.errstate(divide="ignore", over="ignore"):
-            mass = np.where(rest > 1e-15, self.before[start:-1] + np.log(np.maximum(rest, 1e-300)), -np.inf)
-            self.open[start:] = np.where(mass > -np.inf, _truncated(mass, value, rng), -np.inf)
-        self.excluded: dict[int, list[int]] = {}
-
-
-def sample_paths(lattices: Lattices, text: int, k: int, rng: np.random.Generator) -> tuple[list[_Path], float]:
+    """An emitted segmentation: its edges, the stretch of each, and ``before``, minus the log-probability ahead of each."""
+
+    def __init__(self, lattices: Lattices, edges: np.ndarray, owner: np.ndarray, value: float):
+        self.edges, self.owner, self.value = edges, owner, value
+        self.before = np.concatenate([[0.0], -np.cumsum(lattices.log_chance[edges])])
+        self.log_prob = -float(self.before[-1])
+
+
+def sample_paths(
+    lattices: Lattices, walks: tuple[np.ndarray, np.ndarray], text: int, k: int, rng: np.random.Generator
+) -> tuple[list[_Path], float]:
     """Up to ``k`` distinct segmentations, best perturbed value first, and the value of the next one (or -inf)."""
-    starts = lattices.starts[lattices.bounds[text] : lattices.bounds[text + 1]]
-    value = -float(np.log(rng.standard_exponential()))
-    paths = [_Path(*lattices.walk(starts, rng), value, 0, rng)]
+    drawn, base = walks
+    low, high = int(lattices.bounds[text]), int(lattices.bounds[text + 1])
+
+    def free(number: int, stretch: int) -> tuple[np.ndarray, np.ndarray]:
+        """What the walk of a number takes from a stretch on."""
+        at = base[number * len(lattices.starts) + stretch : number * len(lattices.starts) + high + 1]
+        return drawn[at[0] : at[-1]], np.repeat(np.arange(stretch, high), np.diff(at))
+
+    def opened(path: _Path, first: int, last: int, bound: float) -> None:
+        """Open the set that leaves a path at one of the steps from ``first`` up to ``last``."""
+        gone = float(path.before[last] - path.before[first])
+        if gone > 0:
+            mass = math.log(-math.expm1(-gone)) - float(path.before[first])
+            heapq.heappush(heap, (-_truncated(mass, bound, rng), len(paths), first, path, last, None))
+
+    heap: list[tuple] = []
+    paths: list[_Path] = []
+    edges, owner = free(0, low)
+    value = -math.log(rng.standard_exponential())
+    start = 0
     while True:
-        path = max(paths, key=lambda p: p.open.max(initial=-np.inf))
-        value = float(path.open.max(initial=-np.inf))
-        if len(paths) == k or value == -np.inf:
-            return paths, value
-        step = int(np.argmax(path.open))
-        node = int(path.node[step])
-        gone = path.excluded.setdefault(step, [int(path.column[step])])
-        share = lattices.share[node].copy()
-        share[gone] = 0
-        reached = np.cumsum(share)
-        chosen = min(int(np.searchsorted(reached, rng.random() * reached[-1], side="right")), int(np.nonzero(share)[0][-1]))
-        gone.append(chosen)
-        taken, share[chosen] = share[chosen], 0
-        left = share.sum()
-        path.open[step] = _truncated(np.array([path.before[step] + np.log(left)]), value, rng)[0] if left > 0 else -np.inf
+        path = _Path(lattices, edges, owner, value)
+        paths.append(path)
+        opened(path, start, len(edges), value)
+        if len(paths) == k or not heap:
+            return paths, -heap[0][0] if heap else -math.inf
+        best, _, step, path, last, gone = heapq.heappop(heap)
+        value = -best
+        if gone is None:
+            # the step at which the best of the set leaves the path; what leaves it before or after stays open
+            ahead = path.before[step : last + 1]
+            chosen = float(ahead[0]) - math.log1p(rng.random() * math.expm1(float(ahead[0] - ahead[-1])))
+            leaves = min(int(np.searchsorted(ahead, chosen, side="right")), int(np.searchsorted(ahead, ahead[-1]))) - 1
+            opened(path, step, step + leaves, value)
+            opened(path, step + leaves + 1, last, value)
+            step += leaves
+            gone = [int(path.edges[step])]
+        node = int(lattices.node[path.edges[step]])
+        begin = int(lattices.first[node])
+        share = lattices.chance[begin : begin + int(lattices.count[node])].copy()
+        share[[g - begin for g in gone]] = 0
+        taken = begin + _drawn(share, rng)
+        share[taken - begin] = 0
+        left = float(share.sum())
+        if left > 0:
+            mass = math.log(left) - float(path.before[step])
+            heapq.heappush(heap, (-_truncated(mass, value, rng), len(paths), step, path, step + 1, [*gone, taken]))
         # the new path: as before up to the step, the chosen piece, then freely drawn to the end
-        stretch, ahead = int(path.owner[step]), node + chosen + 1
-        inside = ahead < lattices.end[node]
-        tail = starts[stretch + 1 :]
-        owner, nodes, columns, shares = lattices.walk(np.concatenate([[ahead], tail]) if inside else tail, rng)
-        joined = (
-            np.concatenate([path.owner[: step + 1], owner + stretch + (not inside)]),
-            np.concatenate([path.node[: step + 1], nodes]),
-            np.concatenate([path.column[:step], [chosen], columns]),
-            np.concatenate([path.share[:step], [taken], shares]),
-        )
-        paths.append(_Path(*joined, value, step + 1, rng))
+        stretch, fresh = int(path.owner[step]), [taken]
+        node += int(lattices.length[taken])
+        end = int(lattices.end[node - 1])
+        while node < end:
+            begin = int(lattices.first[node])
+            fresh.append(begin + _drawn(lattices.chance[begin : begin + int(lattices.count[node])], rng))
+            node += int(lattices.length[fresh[-1]])
+        tail, owners = free(len(paths), stretch + 1)
+        edges = np.concatenate([path.edges[:step], fresh, tail])
+        owner = np.concatenate([path.owner[:step], np.full(len(fresh), stretch), owners])
+        start = step + 1
+
+
+def _drawn(share: np.ndarray, rng: np.random.Generator) -> int:
+    """A place drawn in proportion to its share."""
+    if len(share) == 1:
+        return 0
+    reached = np.cumsum(share)
+    place = int(np.searchsorted(reached, rng.random() * reached[-1], side="right"))
+    return min(place, int(np.nonzero(share)[0][-1]))
 
 
 def inclusion(log_prob: float, threshold: float) -> float:
@@ -318,20 +417,23 @@ def segmentations(texts: list[str], keys: list[int], k: int, vocabulary: Vocabul
     first = 0
     while first < len(texts):
         last, chars = first, 0
-        while last < len(texts) and (last == first or chars + len(texts[last]) <= GROUP_CHARS):
+        while last < len(texts) and (last == first or (chars + len(texts[last])) * k <= GROUP_CHARS):
             chars += len(texts[last])
             last += 1
         lattices = Lattices(vocabulary, texts[first:last])
+        walks = lattices.walks(keys[first:last], k)
         for text, key in enumerate(keys[first:last]):
             rng = np.random.Generator(np.random.Philox(key=key))
-            paths, threshold = sample_paths(lattices, text, k, rng)
-            yield [(lattices.ids(p.node, p.column), p.log_prob, p.value, inclusion(p.log_prob, threshold)) for p in paths]
+            paths, threshold = sample_paths(lattices, walks, text, k, rng)
+            yield [(lattices.spelled(p.edges), p.log_prob, p.value, inclusion(p.log_prob, threshold)) for p in paths]
         first = last
 
 
 def decode(ids: np.ndarray, vocabulary: Vocabulary) -> str:
     """The text of piece ids: pieces and bytes joined, without the space that every text is given in front."""
-    text = b"".join(map(vocabulary.text.__getitem__, ids.tolist())).decode(errors="replace")
+    size = vocabulary.text_size[ids]
+    place = np.repeat(vocabulary.text_first[ids] - (np.cumsum(size) - size), size)
+    text = vocabulary.text_bytes[place + np.arange(len(place))].tobytes().decode(errors="replace")
     return text[1:] if text.startswith(" ") else text
 
 

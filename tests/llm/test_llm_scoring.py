@@ -3,6 +3,7 @@
 import math
 import random
 from collections import Counter
+from itertools import permutations
 
 import numpy as np
 import pytest
@@ -260,6 +261,38 @@ def test_samples_follow_the_model_without_replacement(vocabulary):
         assert abs(estimate[s] / n - 1) < 0.15
 
 
+def test_three_samples_follow_the_model_without_replacement():
+    """Orders of three samples, against their exact chances; a flat model gives all of them a share."""
+    flat, text, n = pieces.vocabulary_of(sharpness=0.1), "at on", 6000
+    p = {s: math.exp(log) for s, log in all_segmentations(text, flat).items()}
+    got = Counter()
+    for first in range(0, n, 500):
+        for samples in pieces.segmentations([text] * 500, list(range(first, first + 500)), 3, flat):
+            got[tuple(tuple(s[0].tolist()) for s in samples)] += 1
+    want = {(a, b, c): n * p[a] * p[b] / (1 - p[a]) * p[c] / (1 - p[a] - p[b]) for a, b, c in permutations(p, 3)}
+    assert set(got) <= set(want) and len(want) > 30
+    often = [x for x in want if want[x] >= 5]
+    chi = sum((got[x] - want[x]) ** 2 / want[x] for x in often)
+    assert abs(chi - len(often)) < 5 * math.sqrt(2 * len(often))
+
+
+def test_the_search_draws_little_noise_for_a_long_text(vocabulary, monkeypatch):
+    """What leaves a path stays one set until it is the best, however many steps the path has."""
+    drawn, truncated = [], pieces._truncated
+    monkeypatch.setattr(pieces, "_truncated", lambda mass, *rest: drawn.append(np.size(mass)) or truncated(mass, *rest))
+    [samples] = pieces.segmentations(["the cat and the onheretion " * 300], [1], 3, vocabulary)
+    assert len({tuple(s[0].tolist()) for s in samples}) == 3 and len(samples[0][0]) > 1000
+    assert sum(drawn) < 20
+
+
+def test_samples_do_not_depend_on_neighbours(vocabulary):
+    texts = ["the cat", "", "on the mat " * 40, "\u6f22\u5b57 \U0001f600", "the cat"]
+    together = list(pieces.segmentations(texts, [5, 6, 7, 8, 5], 3, vocabulary))
+    for text, key, samples in zip(texts, [5, 6, 7, 8, 5], together):
+        [alone] = pieces.segmentations([text], [key], 3, vocabulary)
+        assert [(s[0].tolist(), *s[1:]) for s in alone] == [(s[0].tolist(), *s[1:]) for s in samples]
+
+
 def test_few_segmentations_are_all_given(vocabulary):
     [samples] = pieces.segmentations(["ab"], [1], 50, vocabulary)
     assert {tuple(s[0].tolist()) for s in samples} == set(all_segmentations("ab", vocabulary))
