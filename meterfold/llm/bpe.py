@@ -24,6 +24,7 @@ _ENTRY_BYTES = 200
 
 # Latin letters and marks, for which the classes below hold in every version of Unicode.
 _LATIN_END = 0x250
+_BEYOND_LATIN = chr(_LATIN_END)
 
 
 def _of_category(initial: str) -> str:
@@ -36,8 +37,9 @@ _BEYOND = re.compile(f"[^\\x00-\\u{_LATIN_END - 1:04x}]")
 _BEYOND_SPACE = re.compile("[  -     　]")
 _SPECIAL = "<|"
 # Marks behind a word and in front of a space or the end: an apostrophe is none, as it may begin a word.
-_BEHIND_WORD = re.compile(r"(?<=[A-Za-z])([.,;:!?%]+)(?=[ \n]|\Z)")
-_LINE_FEED = re.compile(r"(?<=\S)\n(?=\S)")
+# Both patterns begin with the characters to find, which are searched for faster than what is in front of them.
+_BEHIND_WORD = re.compile(r"[.,;:!?%#$&*|](?<=[A-Za-zÀ-ÖØ-öø-ÿ].)[.,;:!?%#$&*|]*(?=[ \n]|\Z)")
+_LINE_FEED = re.compile(r"\n(?<=\S\n)(?=\S)")
 
 # The word patterns of the two vocabularies.
 _SPACED_WORDS = re.compile(
@@ -56,6 +58,13 @@ def _byte_letters() -> dict[int, int]:
 _BYTE_LETTERS = _byte_letters()
 
 
+_PACKERS = [struct.Struct(f"<{n}I").pack for n in range(40)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return _PACKERS[len(ids)](*ids) if len(ids) < len(_PACKERS) else struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Memo(dict):
     """What was encoded before, by key; past its budget the older half is forgotten.
 
@@ -88,7 +97,7 @@ class BpeEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.style = self._style()
         self.memo = Memo(self._learn, memo_bytes)
 
@@ -108,16 +117,14 @@ class BpeEncoder:
         return None
 
     def _whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
         if word.isascii() and word.isprintable():
             letters = word.replace(" ", "Ġ")
         else:
             letters = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        ids = [token.id for token in self.model.tokenize(letters)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _packed([token.id for token in self.tokenize(letters)])
 
     def _learn(self, key: str) -> bytes:
         """The ids of a chunk: its words', or the tokenizer's where the pattern does not hold.
@@ -125,9 +132,15 @@ class BpeEncoder:
         With a spaced vocabulary a key stands for itself after a space, or, where it starts with a
         line feed, for what follows that without a space; so words are keys of their own.
         """
+        if self.style == "spaced" and key.isalpha():
+            # most of what is new: a single word
+            if key.isascii():
+                return _packed([token.id for token in self.tokenize(f"Ġ{key}")])
+            if max(key) < _BEYOND_LATIN:
+                return self._word(f" {key}")
         chunk = key if self.style == "bare" else key[1:] if key[0] == "\n" else f" {key}"
         if chunk.isascii():
-            if (key if key[0] != "\n" else chunk).isalpha() and (self.style == "spaced" or chunk.islower()):
+            if chunk.isalpha() and (self.style == "spaced" or chunk.islower()):
                 return self._word(chunk)
             safe = _SPECIAL not in chunk
         else:
@@ -150,7 +163,7 @@ class BpeEncoder:
         they are words of their own, and fewer different chunks are left.
         """
         if not _oddly_spaced(text):
-            return ("\n" + _LINE_FEED.sub(" \n\n \n", _BEHIND_WORD.sub(r" \n\1", text))).split(" ")
+            return ("\n" + _LINE_FEED.sub(" \n\n \n", _BEHIND_WORD.sub(r" \n\g<0>", text))).split(" ")
         parts = text.split(" ")
         whole = [parts[0]]
         for part in parts[1:]:
@@ -165,31 +178,41 @@ class BpeEncoder:
     def _bare_chunks(self, text: str) -> list[str]:
         """Pieces between white space, those of Latin text in lower case and without the marks behind a word."""
         if _SPECIAL not in text and (text.isascii() or not (_BEYOND.search(text) or "İ" in text)):
-            text = _BEHIND_WORD.sub(r" \1", text.lower())
+            text = _BEHIND_WORD.sub(r" \g<0>", text.lower())
         chunks = text.replace("\n", " ").split(" ")
         return [c for c in chunks if c] if "" in chunks else chunks
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.style is None or (not text.isascii() and _BEYOND_SPACE.search(text)):
+        if self.style is None or (not text.isascii() and _widely_spaced(text)):
             return self._whole(text)
         chunks = self._bare_chunks(text) if self.style == "bare" else self._spaced_chunks(text)
         return b"".join(map(self.memo.__getitem__, chunks))
 
 
-_ASCII_SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f "
-_ODD = re.compile(r" \s|\s ")
+# White space other than the space itself, up to the end of Latin-1.
+_WHITE_SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0"
+
+
+def _widely_spaced(text: str) -> bool:
+    """Whether a text holds white space beyond Latin-1, which a text in Latin-1 need not be searched for."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _BEYOND_SPACE.search(text) is not None
+    return False
 
 
 def _oddly_spaced(text: str) -> bool:
-    """Whether a piece between single spaces is empty or has white space at an end."""
+    """Whether a piece between single spaces is empty or has white space, none of it beyond Latin-1, at an end."""
     if text[0].isspace() or text[-1].isspace():
         return True
     # finding one character is much cheaper than finding two
-    if any(c in text and (f" {c}" in text or f"{c} " in text) for c in _ASCII_SPACES[:-1]) or "  " in text:
-        return True
-    return not text.isascii() and _ODD.search(text) is not None
+    for c in _WHITE_SPACES:
+        if c in text and (f" {c}" in text or f"{c} " in text):
+            return True
+    return "  " in text
 
 
 @lru_cache(maxsize=2)

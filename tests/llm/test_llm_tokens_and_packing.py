@@ -27,6 +27,16 @@ def test_chunks_encode_like_whole_texts(plain):
         assert ids == plain(text).tobytes(), repr(text)
 
 
+def test_marks_behind_a_word_are_learned_once(plain):
+    """Words with and without marks behind them, beyond ASCII too, share one entry."""
+    encoder = bpe.BpeEncoder(tokens.VOCABULARY)
+    text = "thtion thtion### thtion&&& thtion.*** st\u00fc st\u00fc, st\u00fc|\nst\u00fc$$$ <|endoftext|> x<|"
+    assert encoder.encode(text) == plain(text)[:-1].tobytes()
+    learned = {*encoder.memo, *encoder.memo.older}
+    assert {k for k in learned if "thtion" in k} == {"thtion", "\nthtion"}
+    assert {k for k in learned if "st\u00fc" in k} == {"st\u00fc", "\nst\u00fc"}
+
+
 def test_a_small_memo_gives_the_same(plain):
     encoder = bpe.BpeEncoder(tokens.VOCABULARY, 1_000)
     for text in ("one two three four five six", "seven eight nine ten", "one two"):
