@@ -216,12 +216,12 @@ def _oddly_spaced(text: str) -> bool:
 
 
 @lru_cache(maxsize=2)
-def encoder(vocabulary: str) -> BpeEncoder:
+def encoder(vocabulary: str, memo_bytes: int = MEMO_BYTES) -> BpeEncoder:
     """The worker's encoder of a vocabulary; what it has learned serves the worker's later tasks."""
-    return BpeEncoder(vocabulary)
+    return BpeEncoder(vocabulary, memo_bytes)
 
 
-def encoded(texts: list[str | None], vocabulary: str, end_id: int) -> list[bytes]:
+def encoded(texts: list[str | None], vocabulary: str, end_id: int, memo_bytes: int = MEMO_BYTES) -> list[bytes]:
     """Ids of each text followed by the end id; an absent text counts as empty."""
-    end, encode = struct.pack("<I", end_id), encoder(vocabulary).encode
+    end, encode = struct.pack("<I", end_id), encoder(vocabulary, memo_bytes).encode
     return [encode(t or "") + end for t in texts]

@@ -19,11 +19,14 @@ from meterfold.session import fresh_path
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 ID = "<u4"
+# Bytes that the words of one worker may take while token files are written. Most of the work is rare words
+# that come back after many others; no other operator runs in between, so they can be kept for longer.
+MEMO_BYTES = 320 << 20
 
 
-def encoded(texts: list[str | None], vocabulary: str = VOCABULARY) -> list[bytes]:
+def encoded(texts: list[str | None], vocabulary: str = VOCABULARY, memo_bytes: int = bpe.MEMO_BYTES) -> list[bytes]:
     """Ids of each text followed by the end id; an absent text counts as empty."""
-    return bpe.encoded(texts, vocabulary, END_ID)
+    return bpe.encoded(texts, vocabulary, END_ID, memo_bytes)
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
@@ -39,6 +42,7 @@ def write_tokens(
     row_group_bytes: int = 16 << 20,
     page_bytes: int = 256 << 10,
     page_rows: int = 2_000,
+    memo_bytes: int = MEMO_BYTES,
 ) -> None:
     """Encode ``docs(doc_id, text)`` and write the ids in ascending ``doc_id`` order.
 
@@ -56,7 +60,7 @@ def write_tokens(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         for batch in slices(batches):
-            ids = encoded(batch.column("text").to_pylist(), vocabulary)
+            ids = encoded(batch.column("text").to_pylist(), vocabulary, memo_bytes)
             counts = np.array([len(i) // 4 for i in ids], dtype=np.int64)
             ends = np.cumsum(counts)
             values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))

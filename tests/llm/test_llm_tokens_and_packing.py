@@ -43,6 +43,23 @@ def test_a_small_memo_gives_the_same(plain):
         assert encoder.encode(text) == plain(text)[:-1].tobytes()
 
 
+def test_rare_words_of_token_files_are_kept():
+    """Words that come back after half a million others, more than the shared memo holds, are learned once."""
+    learned = []
+    memo = bpe.Memo(lambda word: learned.append(word) or b"0123" * 4, tokens.MEMO_BYTES)
+    for _ in range(2):
+        for i in range(500_000):
+            assert memo[f"word{i}"]
+    assert len(learned) == 500_000
+
+
+def test_token_files_with_a_small_memo(spark, docs, corpus, plain):
+    path = fresh_path(spark, "small-memo")
+    tokens.write_tokens(docs(corpus), path, memo_bytes=1_000)
+    got = Counter((r["doc_id"], tuple(r["ids"])) for r in tokens.read_tokens(spark, path).collect())
+    assert got == Counter((i, tuple(plain(t).tolist())) for i, t in corpus)
+
+
 def test_token_files(spark, docs, corpus, plain):
     rows = tokens.round_trip(docs(corpus)).collect()
     assert len(rows) == len(corpus)
