@@ -25,8 +25,10 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -71,6 +73,7 @@ class Vocabulary:
         # weights are raised by a constant per character, which changes no probability of a segmentation
         self.lift = -float(np.median(log[spelled])) / 3
         lengths = np.array([len(x) for x in names])
+        self.length = lengths.astype(np.int32)
         self.weight = np.exp(log + self.lift * lengths)
         self.least = float(log[spelled].min())
         self.byte_ids = np.full(256, p.unk_id(), dtype=np.int32)
@@ -115,13 +118,19 @@ class Vocabulary:
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece of each hash (-1: the beginning of one only), and whether it is any of both."""
-        piece, there = np.full(len(h), -1, np.int32), np.zeros(len(h), bool)
-        rest = np.arange(len(h))
-        for turn, (keys, values) in enumerate(self.tables):
+        keys, values = self.tables[0]
+        slot = self._slot(h, 0)
+        key = keys[slot]
+        there = key == h
+        piece = np.where(there, values[slot], np.int32(-1))
+        # what is in a later table found its slot taken in those before
+        rest = np.nonzero(~there & (key != 0))[0]
+        for turn, (keys, values) in enumerate(self.tables[1:], 1):
             slot = self._slot(h[rest], turn)
-            same = keys[slot] == h[rest]
+            key = keys[slot]
+            same = key == h[rest]
             piece[rest[same]], there[rest[same]] = values[slot[same]], True
-            rest = rest[~same]
+            rest = rest[~same & (key != 0)]
         return piece, there
 
 
@@ -147,7 +156,7 @@ class Lattices:
     ``i`` has ``count[i]`` edges from ``first[i]`` on, by length. ``chance[e]`` is the chance that a
     path drawn from the model, once at the node, goes on with edge ``e``, whose piece is
     ``piece[e]`` and has ``length[e]`` characters. Numbers from ``vocabulary.size`` on stand for a
-    character that no piece spells, in bytes. Edges are numbered by the distance of their node from
+    character that no piece spells, in several bytes. Edges are numbered by the distance of their node from
     the end of its stretch, in the order in which chances are found.
     """
 
@@ -200,7 +209,9 @@ class Lattices:
         bare = np.nonzero(self.count == 0)[0]
         self.count[bare] = 1
         rank = np.empty(kinds, dtype=np.int64)
-        rank[np.argsort(-size, kind="stable")] = np.arange(kinds)
+        # small numbers are sorted by radix
+        narrow = np.int16 if size.max(initial=0) < 1 << 15 else np.int64
+        rank[np.argsort(-size.astype(narrow), kind="stable")] = np.arange(kinds)
         rank = np.repeat(rank, size)
         by_size = np.bincount(size, minlength=1)
         going = kinds - (np.cumsum(by_size) - by_size)
@@ -212,18 +223,25 @@ class Lattices:
         count[spot] = self.count
         first = np.concatenate([[0], np.cumsum(count)])
         self.first = first[spot]
-        edges = int(first[-1])
-        self.piece, self.length = np.empty(edges, dtype=np.int32), np.ones(edges, dtype=np.int64)
-        self.node, ahead, weight = (np.empty(edges, dtype=t) for t in (np.int64, np.int64, np.float64))
+        self.piece = np.empty(int(first[-1]), dtype=np.int32)
         free = self.first.copy()
-        char = self.char[bare]
-        bare_weight = np.exp(np.maximum(v.least * _utf8_width(char) + v.lift, -600))
-        whole = [(k, nodes, piece, v.weight[piece]) for k, (nodes, piece) in enumerate(found, 1) if len(nodes)]
-        for k, nodes, piece, value in [*whole, (1, bare, v.size + char, bare_weight)]:
+        for nodes, piece in found:
             at = free[nodes]
             free[nodes] = at + 1
-            self.piece[at], self.length[at], self.node[at], weight[at] = piece, k, nodes, value
-            ahead[at] = level[back[nodes] - k] + rank[nodes]
+            self.piece[at] = piece
+        char, at = self.char[bare], self.first[bare]
+        self.piece[at] = np.where(char < 0x80, v.byte_ids[np.minimum(char, 0x7F)], v.size + char)
+        # all else about an edge follows from its piece and its node, and is made in the order of the edges
+        piece = np.minimum(self.piece, v.size - 1)
+        self.length, weight = v.length[piece], v.weight[piece]
+        self.length[at] = 1
+        weight[at] = np.exp(np.maximum(v.least * _utf8_width(char) + v.lift, -600))
+        self.node = np.empty(len(count), dtype=np.int64)
+        self.node[spot] = np.arange(n)
+        self.node = np.repeat(self.node, count)
+        away = np.repeat(np.arange(len(going)), going)
+        column = np.arange(len(count)) - level[away]
+        ahead = level[np.repeat(away, count) - self.length] + np.repeat(column, count)
         mass, total = np.ones(len(count)), np.ones(len(count))
         for low, high in zip(level[1:-1].tolist(), level[2:].tolist()):
             a, b = int(first[low]), int(first[high])
@@ -251,12 +269,13 @@ class Lattices:
         turns = np.arange(k, dtype=np.uint64)[:, None] * np.uint64(0xD1B54A32D192ED03)
         seeds = mixed(mixed(np.array(keys, dtype=np.uint64)) + turns + np.uint64(1))
         seed = np.repeat(seeds, np.diff(self.bounds), axis=1).ravel()
-        place, node = np.tile(self.place, k), np.tile(self.starts, k)
+        step = np.uint64(0x9E3779B97F4A7C15)
+        spot, node = seed + np.tile(self.place, k).astype(np.uint64) * step, np.tile(self.starts, k)
         end = self.end[node]
         walker = np.arange(k * stretches)
         steps, taken = np.zeros(k * stretches, dtype=np.int64), []
         while len(node):
-            noise = mixed(seed + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            noise = mixed(spot)
             edge = self.first[node]
             last = edge + self.count[node] - 1
             rest = (noise >> np.uint64(11)) * 2.0**-53 - self.chance[edge]
@@ -273,7 +292,8 @@ class Lattices:
             length = self.length[edge]
             node = node + length
             going = np.nonzero(node < end)[0]
-            walker, node, end, seed, place = walker[going], node[going], end[going], seed[going], (place + length)[going]
+            walker, node, end = walker[going], node[going], end[going]
+            spot = spot[going] + length[going].astype(np.uint64) * step
         base = np.concatenate([[0], np.cumsum(steps)])
         path = np.empty(int(base[-1]), dtype=np.int64)
         for turn, (walker, edge) in enumerate(taken):
@@ -320,13 +340,45 @@ def _truncated(log_mass: float, bound: float, rng: np.random.Generator) -> float
 
 
 class _Path:
-    """An emitted segmentation: its edges, the stretch of each, and ``before``, minus the log-probability ahead of each."""
+    """An emitted segmentation: its edges, and ``before``, minus the log-probability ahead of each.
 
-    def __init__(self, lattices: Lattices, edges: np.ndarray, owner: np.ndarray, value: float):
-        self.edges, self.owner, self.value = edges, owner, value
-        self.before = np.concatenate([[0.0], -np.cumsum(lattices.log_chance[edges])])
+    Up to ``step`` it is its ``parent``; then it takes edges of its own in ``stretch`` up to ``tail``,
+    from where it is a walk's, whose stretches begin at ``begins``. The first path, a walk alone, has
+    no parent and begins in ``stretch``.
+    """
+
+    def __init__(
+        self,
+        lattices: Lattices,
+        value: float,
+        parent: _Path | None,
+        step: int,
+        fresh: list[int],
+        stretch: int,
+        walk: np.ndarray,
+        begins: np.ndarray,
+    ):
+        self.value, self.parent, self.step, self.tail = value, parent, step, step + len(fresh)
+        self.stretch, self.begins = stretch, begins
+        own = np.concatenate([np.array(fresh, dtype=np.int64), walk]) if fresh else walk
+        ahead = np.empty(len(own) + 1)
+        ahead[0] = parent.before[step] if parent else 0.0
+        np.negative(lattices.log_chance[own], out=ahead[1:])
+        ahead = np.cumsum(ahead)
+        self.edges = np.concatenate([parent.edges[:step], own]) if step else own
+        self.before = np.concatenate([parent.before[:step], ahead]) if step else ahead
         self.log_prob = -float(self.before[-1])
 
+    def owner(self, step: int) -> int:
+        """The stretch of an edge."""
+        path = self
+        while step < path.step:
+            path = path.parent
+        if step < path.tail:
+            return path.stretch
+        later = int(np.searchsorted(path.begins, path.begins[0] + step - path.tail, side="right"))
+        return path.stretch + later - (path.parent is None)
+
 
 def sample_paths(
     lattices: Lattices, walks: tuple[np.ndarray, np.ndarray], text: int, k: int, rng: np.random.Generator
@@ -336,9 +388,9 @@ def sample_paths(
     low, high = int(lattices.bounds[text]), int(lattices.bounds[text + 1])
 
     def free(number: int, stretch: int) -> tuple[np.ndarray, np.ndarray]:
-        """What the walk of a number takes from a stretch on."""
-        at = base[number * len(lattices.starts) + stretch : number * len(lattices.starts) + high + 1]
-        return drawn[at[0] : at[-1]], np.repeat(np.arange(stretch, high), np.diff(at))
+        """What the walk of a number takes from a stretch on, and where its stretches begin."""
+        begins = base[number * len(lattices.starts) + stretch : number * len(lattices.starts) + high + 1]
+        return drawn[begins[0] : begins[-1]], begins
 
     def opened(path: _Path, first: int, last: int, bound: float) -> None:
         """Open the set that leaves a path at one of the steps from ``first`` up to ``last``."""
@@ -349,13 +401,12 @@ def sample_paths(
 
     heap: list[tuple] = []
     paths: list[_Path] = []
-    edges, owner = free(0, low)
     value = -math.log(rng.standard_exponential())
+    path = _Path(lattices, value, None, 0, [], low, *free(0, low))
     start = 0
     while True:
-        path = _Path(lattices, edges, owner, value)
         paths.append(path)
-        opened(path, start, len(edges), value)
+        opened(path, start, len(path.edges), value)
         if len(paths) == k or not heap:
             return paths, -heap[0][0] if heap else -math.inf
         best, _, step, path, last, gone = heapq.heappop(heap)
@@ -371,35 +422,34 @@ def sample_paths(
             gone = [int(path.edges[step])]
         node = int(lattices.node[path.edges[step]])
         begin = int(lattices.first[node])
-        share = lattices.chance[begin : begin + int(lattices.count[node])].copy()
-        share[[g - begin for g in gone]] = 0
+        share = lattices.chance[begin : begin + int(lattices.count[node])].tolist()
+        for g in gone:
+            share[g - begin] = 0.0
         taken = begin + _drawn(share, rng)
-        share[taken - begin] = 0
-        left = float(share.sum())
+        share[taken - begin] = 0.0
+        left = sum(share)
         if left > 0:
             mass = math.log(left) - float(path.before[step])
             heapq.heappush(heap, (-_truncated(mass, value, rng), len(paths), step, path, step + 1, [*gone, taken]))
         # the new path: as before up to the step, the chosen piece, then freely drawn to the end
-        stretch, fresh = int(path.owner[step]), [taken]
+        stretch, fresh = path.owner(step), [taken]
         node += int(lattices.length[taken])
         end = int(lattices.end[node - 1])
         while node < end:
             begin = int(lattices.first[node])
-            fresh.append(begin + _drawn(lattices.chance[begin : begin + int(lattices.count[node])], rng))
+            fresh.append(begin + _drawn(lattices.chance[begin : begin + int(lattices.count[node])].tolist(), rng))
             node += int(lattices.length[fresh[-1]])
-        tail, owners = free(len(paths), stretch + 1)
-        edges = np.concatenate([path.edges[:step], fresh, tail])
-        owner = np.concatenate([path.owner[:step], np.full(len(fresh), stretch), owners])
+        path = _Path(lattices, value, path, step, fresh, stretch, *free(len(paths), stretch + 1))
         start = step + 1
 
 
-def _drawn(share: np.ndarray, rng: np.random.Generator) -> int:
+def _drawn(share: list[float], rng: np.random.Generator) -> int:
     """A place drawn in proportion to its share."""
     if len(share) == 1:
         return 0
-    reached = np.cumsum(share)
-    place = int(np.searchsorted(reached, rng.random() * reached[-1], side="right"))
-    return min(place, int(np.nonzero(share)[0][-1]))
+    reached = list(accumulate(share))
+    place = bisect_right(reached, rng.random() * reached[-1])
+    return min(place, max(i for i, x in enumerate(share) if x))
 
 
 def inclusion(log_prob: float, threshold: float) -> float:

@@ -285,6 +285,32 @@ def test_the_search_draws_little_noise_for_a_long_text(vocabulary, monkeypatch):
     assert sum(drawn) < 20
 
 
+def test_absent_pieces_are_searched_for_once(vocabulary, monkeypatch):
+    """Beginnings of no piece, which are most, end at an empty slot of the first table; all pieces are found."""
+    searched, slot = [0] * 8, pieces.Vocabulary._slot
+    counted = lambda h, turn: searched.__setitem__(turn, searched[turn] + len(h)) or slot(h, turn)
+    monkeypatch.setattr(pieces.Vocabulary, "_slot", staticmethod(counted))
+    pieces.Lattices(vocabulary, ["the cat and the onheretion qxzv " * 20, "Anderswo 1234 wxyz, gehtdas"])
+    assert 0 < searched[0] and sum(searched[1:]) < 0.2 * searched[0]
+    for keys, values in vocabulary.tables:
+        piece, there = vocabulary.find(keys[keys != 0])
+        assert there.all() and (piece == values[keys != 0]).all()
+
+
+def test_edges_of_samples_know_their_stretch(vocabulary):
+    lattices = pieces.Lattices(vocabulary, ["in front", "the cat and the onheretion " * 5 + "\n\u6f22 end"])
+    walks = lattices.walks([3, 4], 6)
+    paths, _ = pieces.sample_paths(lattices, walks, 1, 6, np.random.Generator(np.random.Philox(key=4)))
+    assert len(paths) == 6
+    for path in paths:
+        at, want = 0, []
+        for length in lattices.length[path.edges].tolist():
+            want.append(int(np.searchsorted(lattices.place[lattices.bounds[1] :], at, side="right")) - 1 + int(lattices.bounds[1]))
+            at += length
+        assert [path.owner(step) for step in range(len(path.edges))] == want
+        assert abs(path.log_prob - float(lattices.log_chance[path.edges].sum())) < 1e-9
+
+
 def test_samples_do_not_depend_on_neighbours(vocabulary):
     texts = ["the cat", "", "on the mat " * 40, "\u6f22\u5b57 \U0001f600", "the cat"]
     together = list(pieces.segmentations(texts, [5, 6, 7, 8, 5], 3, vocabulary))
